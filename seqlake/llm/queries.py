@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, media, quality, toxicity
+from . import bpe, decontamination, html, licenses, media, quality, secrets, toxicity
 from .common import shared_dir, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,24 +27,39 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "media")
     media.store(table(spark, sf_dir, "documents"), folder)
     return media.features(media.load(spark, folder))
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.Ledger(spark))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
         op2_bpe_encoding,
         op5_toxicity,
+        op6_license_scans,
         op7_html_extraction,
+        op8_benchmark_decontamination,
         op9_media_columns,
+        op10_secret_scans,
     )
 }
 
