@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, html, licenses, lines, media, quality, secrets, toxicity
+from . import bpe, decontamination, html, jaccard, licenses, lines, media, quality, secrets, toxicity
 from .common import shared_dir, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -25,6 +25,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -59,6 +63,7 @@ QUERIES = {
         op1_quality_classifier,
         op2_bpe_encoding,
         op3_line_dedup,
+        op4_ngram_jaccard_join,
         op5_toxicity,
         op6_license_scans,
         op7_html_extraction,

@@ -29,7 +29,8 @@ def by_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join on (doc_id, h), null ids included; ``right`` has one row for a key."""
     right = right.withColumnsRenamed({"doc_id": "_doc_id", "h": "_h"})
     on = left["doc_id"].eqNullSafe(right["_doc_id"]) & (left["h"] == right["_h"])
-    return left.join(right, on, how).drop("_doc_id", "_h")
+    joined = left.join(right, on, how)
+    return joined if how in ("left_anti", "left_semi") else joined.drop("_doc_id", "_h")
 
 
 def grams(df: DataFrame, size: int, words: str = "words", position: str = "pos") -> DataFrame:
