@@ -16,7 +16,6 @@ than doc_id and text are ignored.
 from __future__ import annotations
 
 import hashlib
-import io
 import struct
 import time
 import uuid
@@ -143,7 +142,9 @@ class ArchiveReader(DataSourceReader):
                 archive = zipfile.ZipFile(fs.open_input_file(part.path))
         raise AssertionError
 
-    def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read(self, part: ByteRange | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # what Spark hands over where there is nothing to plan
+            return
         fs, _ = filesystem(self.folder)
         schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
         rows, size = [], 0
