@@ -42,6 +42,25 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Cuts whose folders can be removed together, once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame, label: str = "cut") -> DataFrame:
+        path = shared_dir(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.paths.clear()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(a, b)`` as ``(node, root)``.
 
@@ -51,7 +70,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     the logarithm of the diameter. Every round is cut to the shared folder.
     Self-loops and nulls are dropped; a node without an edge does not appear.
     """
-    pairs = cut(
+    scratch = Scratch(edges.sparkSession)
+    pairs = scratch.cut(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
@@ -71,7 +91,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
             .unionByName(low.select("a", F.col("m").alias("b")))
         ).distinct()
-        pairs = cut(small, "edges")
+        before, scratch = scratch, Scratch(edges.sparkSession)
+        pairs = scratch.cut(small, "edges")
+        before.clear()
         state = pairs.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
