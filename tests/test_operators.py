@@ -32,9 +32,9 @@ def test_reads_are_at_their_true_place_and_planted_snps_are_called(spark):
 
 
 def test_alignment_does_not_depend_on_partitions(spark):
-    reads, tiles = frame(spark, DATA, "reads").limit(300), frame(spark, DATA, "contig_tiles")
-    a, b = (align.align_reads(reads.repartition(n), tiles) for n in (1, 7))
-    assert a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+    reads, tiles = frame(spark, DATA, "reads").where("name < 'r0000200'"), frame(spark, DATA, "contig_tiles")
+    a, b = (sorted(map(tuple, align.align_reads(reads.repartition(n), tiles).collect())) for n in (1, 7))
+    assert a == b and a
 
 
 def test_unknown_bases_match_nothing_but_themselves(spark):
