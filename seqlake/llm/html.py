@@ -2,12 +2,14 @@
 
 Each page becomes a tree. Subtrees that are never article text (scripts,
 styles, menus, forms, and elements whose class, id or role says notice, advert,
-sidebar or comments) are pruned. Every remaining node gets its characters and
-tags, those inside links apart, and a link-adjusted characters-per-tag density;
-a node's sum is the sum of its children's densities. The node of the largest
-sum gives a threshold: the smallest density on its path to the body. From the
-body down, the first node on the way to the largest sum whose density reaches
-the threshold while it holds the whole sum's text is the article.
+sidebar or comments) are pruned. Every remaining node gets its characters and tags, those inside links apart, and a link-adjusted
+characters-per-tag density; a block's sum is the sum of the densities of the
+blocks in it, or its own density if it has none. The block of the largest sum
+below the body is the core of the article; the smallest density on its path to
+the body is the threshold. Beside that path, subtrees are article text too where
+their density reaches the threshold and their densest block is comparable to
+the core's; each gives its block of the largest sum. Article and main elements
+that hold the core, or most of the text found, stand for it.
 
 Edge cases: null or empty html, and pages without text, give the empty text and
 0 characters; repeated rows give repeated results; markup that never closes is
@@ -46,6 +48,11 @@ PRUNED_WORDS = frozenset(
     "share sharing social related recommended pagination pager toolbar".split()
 )
 
+MARKS = ("article", "main")
+# Parts of a page's layout.
+CONTAINERS = frozenset("article body center div main section table tbody td tfoot th thead tr".split())
+COMPARABLE = 0.4  # of the core's density, for the densest block of text beside it
+
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
@@ -58,7 +65,7 @@ WORD = re.compile(r"[A-Za-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "pruned", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "pruned", "chars", "tags", "link_chars", "link_tags", "density", "block", "parts", "total", "peak")
 
     def __init__(self, tag: str, parent: Node | None, pruned: bool):
         self.tag, self.parent, self.pruned = tag, parent, pruned
@@ -96,6 +103,8 @@ def parse(html: str) -> Node:
         at = match.end()
         if match[1]:  # an end tag closes its element if that is open in the same block
             tag = match[1].lower()
+            if tag in ("html", "body"):  # what follows is in the body too
+                continue
             node = top
             while node is not None and node.tag != tag:
                 if tag not in BLOCK and node.tag in BLOCK:
@@ -149,15 +158,23 @@ def _close(top: Node, tags: tuple[str, ...], barriers: tuple[str, ...]) -> tuple
 
 
 def _order(root: Node) -> list[Node]:
-    """Unpruned nodes, parents before children; no recursion, however deep the page."""
+    """Unpruned nodes in page order, parents before children; no recursion, however deep the page."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack.extend(x for x in node.items if isinstance(x, Node) and not x.pruned)
+        stack.extend(x for x in reversed(node.items) if isinstance(x, Node) and not x.pruned)
     return order
 
 
+def _path(node: Node, top: Node | None = None) -> list[Node]:
+    """A node and what it is in, up to ``top`` or the root."""
+    path = [node]
+    while path[-1] is not top and path[-1].parent is not None:
+        path.append(path[-1].parent)
+    return path
+
+
 def measure(root: Node) -> list[Node]:
     """Characters, tags, densities and density sums of all unpruned nodes."""
     order = _order(root)
@@ -184,33 +201,83 @@ def measure(root: Node) -> list[Node]:
             node.density = node.chars / tags * math.log(max(node.chars / link_chars * tags / link_tags, 1.0)) / math.log(max(base, 1.0) + 1)
         else:
             node.density = 0.0
-        node.total = sum(x.density for x in node.items if isinstance(x, Node) and not x.pruned)
+        parts = [x for x in node.items if isinstance(x, Node) and not x.pruned and x.block]
+        node.block, node.parts = bool(parts) or node.tag in BLOCK, parts
+        node.total = sum(x.density for x in parts) if parts else node.density
+        node.peak = max((x.peak for x in parts), default=node.density)
     return order
 
 
-def article(root: Node) -> Node:
-    """The subtree of the largest density sum, raised by the body-path threshold."""
+def _runs(body: Node) -> None:
+    """Put text, and blocks that are not layout, that lie in the body between parts of the layout into blocks of their own.
+
+    Lists and paragraphs of links for the most part count as layout.
+    """
+
+    def layout(item: Node | str) -> bool:
+        return isinstance(item, Node) and not item.pruned and item.block and (item.tag in CONTAINERS or not CONTAINERS.isdisjoint(x.tag for x in item.parts) or 2 * item.link_chars > item.chars)
+
+    if not any(layout(x) and x.chars for x in body.items):
+        return
+    items: list[Node | str] = []
+    run: Node | None = None
+    for item in body.items:
+        if layout(item):
+            items.append(item)
+            run = None
+            continue
+        if run is None:
+            run = Node("div", body, False)
+            items.append(run)
+        run.items.append(item)
+        if isinstance(item, Node):
+            item.parent = run
+    body.items = items
+
+
+def _typical(core: Node) -> float:
+    """Mean density of a subtree's smallest blocks, each by its characters."""
+    total = chars = 0.0
+    for node in _order(core):
+        if node.block and not node.parts:
+            total += node.density * node.chars
+            chars += node.chars
+    return total / chars if chars else core.density
+
+
+def article(root: Node) -> list[Node]:
+    """The subtrees of the article, in page order."""
     order = measure(root)
-    marked = next((n for n in order if n.tag in ("article", "main") and n.chars), None)
-    best = max(order, key=lambda n: n.total)
-    path = [best]
-    while path[-1].parent is not None:
-        path.append(path[-1].parent)
-    threshold = min((n.density for n in path if n.chars), default=0.0)
-    for node in reversed(path):  # from the body down to the largest sum
-        if node.chars and node.density >= threshold:
-            chosen = node
+    body = next((n for n in order if n.tag == "body" and n.chars == root.chars), root)
+    _runs(body)
+    order = measure(root)
+    below = [n for n in _order(body)[1:] if n.block and n.chars]
+    if not below or not any(n.tag in CONTAINERS or 2 * n.link_chars > n.chars for n in body.parts):
+        below = [body]  # all of it is one run of text
+    core = max(below, key=lambda n: n.total)
+    while True:  # a part with most of the sum, where there is only layout beside it
+        part = max(core.parts, key=lambda n: n.density, default=None)
+        loose = any(isinstance(x, str) and x.strip() or isinstance(x, Node) and not x.pruned and x.chars and x.tag not in CONTAINERS and 2 * x.link_chars <= x.chars for x in core.items if x is not part)
+        if part is None or part.tag not in CONTAINERS or loose or part.density <= 0.5 * core.total:
             break
-    else:
-        chosen = best
-    # narrow while one child keeps nearly all of the text
-    if marked is not None and chosen is not marked and marked.chars >= 0.5 * chosen.chars:
-        inside = marked
-        while inside is not None and inside is not chosen:
-            inside = inside.parent
-        if inside is chosen:
-            chosen = marked
-    return chosen
+        core = part
+    path = _path(core, body)
+    threshold = min(n.density for n in path)
+    enough = COMPARABLE * _typical(core)
+    found = [core]
+    for node, outer in zip(path, path[1:], strict=False):
+        for part in outer.parts:
+            if part is not node and part.density >= threshold and part.peak >= enough:
+                found.append(max((n for n in _order(part) if n.block), key=lambda n: n.total))
+    marks: list[Node] = []
+    for node in order:  # the outermost ones
+        if node.tag in MARKS and node.chars and not any(n.tag in MARKS for n in _path(node)[1:]):
+            marks.append(node)
+    around = {id(n) for n in _path(core)}
+    if marks and (any(id(n) in around for n in marks) or any(core in _path(n) for n in marks) and 2 * sum(n.chars for n in marks) >= sum(n.chars for n in found)):
+        return marks
+    at = {id(n): i for i, n in enumerate(order)}
+    return sorted(found, key=lambda n: at[id(n)])
 
 
 def text_of(node: Node) -> str:
@@ -248,7 +315,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    return text_of(article(root))
+    return "\n".join(filter(None, map(text_of, article(root))))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -309,6 +309,29 @@ def test_html_main_text():
     assert html.main_text(f"<body><div><a href=1>a</a> <a href=2>b</a></div><div><div>{body}</div></div></body>").count("\n") >= 4
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>{prose(3, 700 + i)}</a></li>" for i in range(12)) + "</ul>"
+PARTS = [prose(40, 720 + i) for i in range(5)]
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in PARTS)
+FOOTER = "© 2020 Some company. All rights reserved."
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<div>{LINKS}</div><div>{PARAGRAPHS}</div><div>Buy now, only today</div><div>{FOOTER}</div>", PARTS),
+        (f"<div><div>{LINKS}</div><div><h1>Title</h1>{PARAGRAPHS}</div><p>Buy now</p><p>{FOOTER}</p></div>", ["Title", *PARTS]),
+        (f"<table><tr><td>{LINKS}<td>{PARAGRAPHS}<td>Buy now, only today</table><p>{FOOTER}", PARTS),
+        (f"{LINKS}<h1>Title</h1>{PARAGRAPHS}<div>{FOOTER}</div>", ["Title", *PARTS]),
+        (f"<div><div>{LINKS}</div><div>{PARTS[0]}</div><div>{FOOTER}</div></div>", PARTS[:1]),
+        (f"<div>{LINKS}</div><div><div><h2>A</h2>{PARAGRAPHS}</div><div><h2>B</h2><p>{PARTS[0]}</p></div></div>", ["A", *PARTS, "B", PARTS[0]]),
+        (f"<div>{LINKS}</div><div>{'<br>'.join(PARTS)}</div><div>{FOOTER}</div>", [" ".join(PARTS)]),
+        (f"<h1>Title</h1>{PARAGRAPHS}</body></html><p>after", ["Title", *PARTS, "after"]),
+    ],
+)
+def test_html_without_article_elements(page, expected):
+    assert html.main_text(f"<html><body>{page}</body></html>") == "\n".join(expected)
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))
