@@ -2,7 +2,9 @@
 
 Each page becomes a tree. Subtrees that are never article text (scripts,
 styles, menus, forms, and elements whose class, id or role says notice, advert,
-sidebar or comments) are pruned. Every remaining node gets its characters and tags, those inside links apart, and a link-adjusted
+sidebar or comments) are pruned, unless they hold the page's largest article or
+main element or, without one, nearly all of its text. Every remaining node gets
+its characters and tags, those inside links apart, and a link-adjusted
 characters-per-tag density; a block's sum is the sum of the densities of the
 blocks in it, or its own density if it has none. The block of the largest sum
 below the body is the core of the article; the smallest density on its path to
@@ -48,9 +50,14 @@ PRUNED_WORDS = frozenset(
     "share sharing social related recommended pagination pager toolbar".split()
 )
 
+# Words that may stand beside those in one class or id, as in site-footer; has-sidebar or menu-open say something else.
+NEUTRAL_WORDS = frozenset("area bar block box button buttons container group inner item items links list main page post posts section site top bottom left right wrapper".split())
+# Never text, whatever they hold.
+HARD_TAGS = frozenset("head title script style noscript template iframe object embed svg canvas audio video button select option textarea input".split())
 MARKS = ("article", "main")
 # Parts of a page's layout.
 CONTAINERS = frozenset("article body center div main section table tbody td tfoot th thead tr".split())
+MOST = 0.8  # of a page's text outside links: what holds so much is not beside the article
 COMPARABLE = 0.4  # of the core's density, for the densest block of text beside it
 
 MARKUP = re.compile(
@@ -61,32 +68,42 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
-WORD = re.compile(r"[A-Za-z]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "pruned", "chars", "tags", "link_chars", "link_tags", "density", "block", "parts", "total", "peak")
+    __slots__ = ("tag", "parent", "items", "pruned", "hard", "mass", "chars", "tags", "link_chars", "link_tags", "density", "block", "parts", "total", "peak")
 
-    def __init__(self, tag: str, parent: Node | None, pruned: bool):
+    def __init__(self, tag: str, parent: Node | None, pruned: bool, hard: bool = False):
+        self.hard = hard
         self.tag, self.parent, self.pruned = tag, parent, pruned
         self.items: list[Node | str] = []
 
 
-def _pruned(tag: str, attributes: str) -> bool:
+def _named(value: str) -> bool:
+    """Whether one of the names of a class or id says that its element is beside the article."""
+    for name in value.split():
+        words = {w.lower() for w in WORD.findall(name)}
+        if name.lower() in PRUNED_WORDS or not words.isdisjoint(PRUNED_WORDS) and words <= PRUNED_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
+
+
+def _pruned(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is pruned, and whether that holds whatever is in it."""
     if tag in PRUNED_TAGS:
-        return True
+        return True, tag in HARD_TAGS
     if tag in ("html", "body", "article", "main") or not attributes.strip():
-        return False
+        return False, False
+    pruned = False
     for match in ATTRIBUTE.finditer(attributes):
         name = match[1].lower()
         value = match[2] or match[3] or match[4] or ""
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "role" and value.lower() in PRUNED_ROLES:
-            return True
-        if name in ("class", "id") and not PRUNED_WORDS.isdisjoint(w.lower() for w in WORD.findall(value)):
-            return True
-    return False
+            return True, True
+        if name == "role" and value.lower() in PRUNED_ROLES or name in ("class", "id") and _named(value):
+            pruned = True
+    return pruned, False
 
 
 def parse(html: str) -> Node:
@@ -133,7 +150,7 @@ def parse(html: str) -> Node:
             _, top = _close(top, ("option",), ("select",))
         elif tag == "body":
             _, top = _close(top, ("head",), ())
-        node = Node(tag, top, _pruned(tag, attributes))
+        node = Node(tag, top, *_pruned(tag, attributes))
         top.items.append(node)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
             continue
@@ -157,13 +174,16 @@ def _close(top: Node, tags: tuple[str, ...], barriers: tuple[str, ...]) -> tuple
     return False, top
 
 
-def _order(root: Node) -> list[Node]:
-    """Unpruned nodes in page order, parents before children; no recursion, however deep the page."""
+def _order(root: Node, soft: bool = False) -> list[Node]:
+    """Unpruned nodes in page order, parents before children; no recursion, however deep the page.
+
+    With ``soft`` also those that are pruned only by what they are called.
+    """
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack.extend(x for x in reversed(node.items) if isinstance(x, Node) and not x.pruned)
+        stack.extend(x for x in reversed(node.items) if isinstance(x, Node) and not (x.hard if soft else x.pruned))
     return order
 
 
@@ -175,8 +195,31 @@ def _path(node: Node, top: Node | None = None) -> list[Node]:
     return path
 
 
+def restore(root: Node) -> None:
+    """Unprune what holds the largest article or main element or, without one, most of the text."""
+    order = _order(root, soft=True)
+    if not any(n.pruned for n in order):
+        return
+    for node in reversed(order):
+        node.mass = 0
+        for item in node.items:
+            if isinstance(item, str):
+                node.mass += len(SPACE.sub("", item))
+            elif not item.hard and item.tag != "a":
+                node.mass += item.mass
+    largest = max((n for n in order if n.tag in MARKS and n.mass), key=lambda n: n.mass, default=None)
+    if largest is not None:
+        for node in _path(largest):
+            node.pruned = False
+    else:
+        for node in order:
+            if node.mass and node.mass >= MOST * root.mass:
+                node.pruned = False
+
+
 def measure(root: Node) -> list[Node]:
     """Characters, tags, densities and density sums of all unpruned nodes."""
+    restore(root)
     order = _order(root)
     for node in reversed(order):
         node.chars = node.tags = node.link_chars = node.link_tags = 0

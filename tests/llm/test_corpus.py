@@ -332,6 +332,19 @@ def test_html_without_article_elements(page, expected):
     assert html.main_text(f"<html><body>{page}</body></html>") == "\n".join(expected)
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "post no-comments", "with-banner", "page-menu-open", "sidebar"])
+def test_html_wrappers_named_after_what_is_beside_them(name):
+    for tag in ("article", "div"):
+        page = f'<body><div class="{name}"><{tag}>{PARAGRAPHS}</{tag}></div><div class="site-footer">{prose(50, 9)}</div></body>'
+        assert html.main_text(page) == "\n".join(PARTS)
+    assert html.main_text(f'<body><div class="cookie-notice"><p>{prose(20, 9)}</p></div><div>{PARAGRAPHS}</div></body>') == "\n".join(PARTS)
+
+
+def test_html_several_articles_in_page_order():
+    page = f"<div>{LINKS}</div><article><p>{PARTS[0]}<p>{PARTS[1]}</article><article><p>{PARTS[2]}<p>{PARTS[3]}<p>{PARTS[4]}</article>"
+    assert html.main_text(f"<body>{page}</body>") == "\n".join(PARTS)
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))
