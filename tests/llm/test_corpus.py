@@ -261,6 +261,17 @@ def test_line_dedup(spark, docs, empty):
     assert lines.dedup(empty).count() == 0 == lines.report(empty).count()
 
 
+def removed_lines(spark, *texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return [r["removed"] for r in lines.report(df).orderBy("doc_id").collect()]
+
+
+def test_line_dedup_by_overlapping_character_shingles(spark):
+    words = prose(12, 41).split()
+    typo = " ".join([*words[:6], "x" + words[6][1:], *words[7:]])  # a letter of a line of twelve words
+    assert removed_lines(spark, " ".join(words), typo, " ".join(words).upper()) == ["", "0", "0"]
+
+
 def test_media_columns(spark, docs, empty, tmp_path):
     for table in (docs, empty):
         folder = f"file://{tmp_path}/{table.count()}"
