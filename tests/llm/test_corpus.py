@@ -272,6 +272,14 @@ def test_line_dedup_by_overlapping_character_shingles(spark):
     assert removed_lines(spark, " ".join(words), typo, " ".join(words).upper()) == ["", "0", "0"]
 
 
+def test_line_dedup_of_few_words_and_unspaced_scripts(spark):
+    han = "".join(chr(0x4E00 + random.Random(4).randrange(5000) + i) for i in range(60))
+    tabs = prose(20, 42).replace(" ", "\t")
+    text = "\n".join(["All rights reserved.", han, tabs, "       "])
+    other = "\n".join(["All rights reserved.", han[:30] + "一" + han[31:], tabs + "\tx", "       "])
+    assert removed_lines(spark, text, text, other) == ["", "0,1,2", "0,1,2"]
+
+
 def test_media_columns(spark, docs, empty, tmp_path):
     for table in (docs, empty):
         folder = f"file://{tmp_path}/{table.count()}"
