@@ -16,7 +16,8 @@ shingle in their prefix have all their other shingles in it too, so a pair that
 shares any other shingle still meets in a block. The rest can only overlap in
 frequent shingles. Sets are grouped by the components of frequent shingles; in
 each group all are compared with a few leaders, those made of frequent
-shingles most; sets that no leader links are compared in bounded tiles with all
+shingles most. Leaders that link with one set are one part of the group; sets
+outside its largest part are compared in bounded tiles with all of other parts
 that have frequent shingles enough. So no link that joins two components is
 lost, though links within a component need not be listed.
 
@@ -355,16 +356,17 @@ def _cold_edges(documents: DataFrame, rows: DataFrame, scratch: Scratch) -> Data
 
 
 def _tiles(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Links between a tile of unlinked sets and a tile of all sets of a group."""
+    """Links between a tile of sets outside the largest part of a group and a tile of all its sets, of different parts or none."""
     out: list[tuple[str, str]] = []
     if left.num_rows and right.num_rows:
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in right.column("s")]
         flat, ends = np.concatenate(sets), np.cumsum([len(x) for x in sets])
         sizes, hot = np.array([len(x) for x in sets]), right.column("n_hot").to_numpy()
-        names = right.column("fp").to_pylist()
-        for fp, s, h in zip(left.column("fp").to_pylist(), left.column("s"), left.column("n_hot").to_pylist(), strict=True):
+        names, parts = right.column("fp").to_pylist(), right.column("part").to_numpy()
+        for fp, s, h, part in zip(left.column("fp").to_pylist(), left.column("s"), left.column("n_hot").to_pylist(), left.column("part").to_pylist(), strict=True):
             s = np.frombuffer(s.as_buffer(), np.uint64)
             near = (np.minimum(h, hot) >= needed(len(s), sizes)) & (DEN * np.minimum(len(s), sizes) >= NUM * np.maximum(len(s), sizes))
+            near &= (parts != part) | (part == 0)
             if not near.any():
                 continue
             at = np.minimum(np.searchsorted(s, flat), len(s) - 1)
@@ -386,26 +388,41 @@ def _hot_edges(rows: DataFrame, scratch: Scratch) -> DataFrame | None:
     if hot.isEmpty():
         return None
     edges, left = None, hot.drop("s")
-    for _ in range(LEADERS):
+    marks = None
+    for i in range(LEADERS):
         rank = F.struct(F.col("n_hot") / F.col("n"), "n", "fp")
         chosen = left.groupBy("grp").agg(F.max_by("fp", rank).alias("fp"))
         leaders = hot.select("fp", F.col("s").alias("sa")).join(chosen, "fp").select("grp", F.col("fp").alias("a"), "sa")
         pairs = hot.join(leaders, "grp").select("a", F.col("fp").alias("b"), "sa", F.col("s").alias("sb"))
         found = scratch.cut(_verified(pairs), "leader-links")  # a leader links with itself, and so leaves the rest
         edges = found if edges is None else edges.unionByName(found)
+        mark = found.select(F.col("b").alias("fp"), F.lit(1 << i).alias("mask"))
+        marks = mark if marks is None else marks.unionByName(mark)
         left = scratch.cut(left.join(found.select(F.col("b").alias("fp")), "fp", "left_anti"), "unlinked")
-    left = scratch.cut(left.join(hot.select("fp", "s"), "fp"), "residual")
-    # what no leader links, against all of its group that frequent shingles alone can link
+    # a part: the leaders, as bits, that sets linked with several of them join; 0 without a leader
     enough = F.col("n_hot") * DEN >= F.col("n") * NUM
-    counts = hot.where(enough).groupBy("grp").agg((F.count(F.lit(1)) / TILE).cast("int").alias("right")).join(
-        left.where(enough).groupBy("grp").agg((F.count(F.lit(1)) / TILE).cast("int").alias("left")), "grp"
+    marks = marks.groupBy("fp").agg(F.bit_or("mask").alias("mask"))
+    able = scratch.cut(hot.select("grp", "fp", "n", "n_hot").join(marks, "fp", "left").select("grp", "fp", enough.alias("able"), F.coalesce("mask", F.lit(0)).alias("mask")), "masks")
+    part = F.col("mask")
+    for _ in range(LEADERS):
+        part = F.aggregate("masks", part, lambda x, m: F.when(x.bitwiseAND(m) != 0, x.bitwiseOR(m)).otherwise(x))
+    masks = able.groupBy("grp").agg(F.collect_set("mask").alias("masks"))
+    able = able.where("able").join(masks, "grp").select("grp", "fp", part.alias("part"))
+    able = scratch.cut(able, "parts")
+    most = able.where("part > 0").groupBy("grp", "part").count().groupBy("grp").agg(F.max_by("part", F.struct("count", "part")).alias("most"))
+    outside = able.join(most, "grp", "left").where("most is null or part <> most").select("grp", "fp", "part")
+    outside = scratch.cut(outside, "outside")
+    # sets outside the largest part, against all of its group that frequent shingles alone can link
+    counts = able.groupBy("grp").agg((F.count(F.lit(1)) / TILE).cast("int").alias("right")).join(
+        outside.groupBy("grp").agg((F.count(F.lit(1)) / TILE).cast("int").alias("left")), "grp"
     )
+    sets = hot.where(enough).select("fp", "n_hot", "s")
     spread = F.pmod(F.xxhash64("fp"), F.lit(1 << 30))
-    x = left.where(enough).join(counts, "grp").select(
-        "grp", (spread % (F.col("left") + 1)).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.col("right"))).alias("col"), "fp", "n_hot", "s"
+    x = outside.join(counts, "grp").join(sets, "fp").select(
+        "grp", (spread % (F.col("left") + 1)).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.col("right"))).alias("col"), "fp", "n_hot", "part", "s"
     )
-    y = hot.where(enough).join(counts, "grp").select(
-        "grp", F.explode(F.sequence(F.lit(0), F.col("left"))).alias("row"), (spread % (F.col("right") + 1)).cast("int").alias("col"), "fp", "n_hot", "s"
+    y = able.join(counts, "grp").join(sets, "fp").select(  # names of their own for columns that x has too
+        F.col("grp").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("left"))).alias("row"), (spread % (F.col("right") + 1)).cast("int").alias("col"), *(F.col(c).alias(c) for c in ("fp", "n_hot", "part", "s"))
     )
     tiles = x.groupBy("grp", "row", "col").cogroup(y.groupBy("grp", "row", "col")).applyInArrow(_tiles, "a string, b string")
     return edges.unionByName(tiles)

@@ -233,6 +233,21 @@ def test_jaccard_join_of_a_large_group_of_near_copies(spark, monkeypatch, leader
     assert collections.Counter(map(tuple, jaccard.join(df).collect())) == expected_join(rows)
 
 
+def test_jaccard_join_of_revisions_that_drift(spark):
+    text, rows = prose(160, 61).split(), []
+    for revision in range(4):  # neighbours link, others do not; leaders lie at the ends
+        text = [*text[: 20 + 30 * revision], *prose(14, 62 + revision).split(), *text[34 + 30 * revision :]]
+        for i in range(10):
+            w = list(text)
+            if i or revision in (1, 2):
+                w[-1] = f"variant{revision}x{i}"
+            rows.append((100 * revision + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = expected_join(rows)
+    assert {c for _, _, c in want} == {0}
+    assert collections.Counter(map(tuple, jaccard.join(df).collect())) == want
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5), (None, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
