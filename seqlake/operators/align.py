@@ -13,13 +13,25 @@ from ..functions.scalars import mismatches, packed, reverse_complement
 
 K = 16
 OFFSETS = (0, 12, 24)
-MAX_READ = 60  # bases that a read may have; windows hold as many beyond a tile
+JOINED = 4  # following tiles that are joined one by one; more are gathered in one aggregation
+
+
+def longest(reads: DataFrame) -> int:
+    """Bases of the longest read; reads ``reads`` once."""
+    return reads.agg(F.max(F.length("seq"))).first()[0] or 0
 
 
 def windows(tiles: DataFrame, extra: int, tile_len: int = 32) -> DataFrame:
     """(contig, tile, start0, seq, window): each tile with at least ``extra`` following bases."""
+    after = -(-extra // tile_len)
+    if after > JOINED:
+        tile = F.struct("tile", "start0", "seq")
+        rows = tiles.select("contig", F.explode(F.sequence(F.col("tile") - after, "tile")).alias("at"), tile.alias("t"))
+        parts = rows.groupBy("contig", "at").agg(F.array_sort(F.collect_list("t")).alias("parts")).where(F.col("parts")[0]["tile"] == F.col("at"))
+        first = F.col("parts")[0]
+        return parts.select("contig", first["tile"].alias("tile"), first["start0"].alias("start0"), first["seq"].alias("seq"), F.array_join(F.col("parts.seq"), "").alias("window"))
     out = tiles.select("contig", "tile", "start0", "seq", F.col("seq").alias("window"))
-    for i in range(1, -(-extra // tile_len) + 1):
+    for i in range(1, after + 1):
         after = tiles.select("contig", (F.col("tile") - i).alias("tile"), F.col("seq").alias("more"))
         out = out.join(after, ["contig", "tile"], "left").withColumn("window", F.concat("window", F.coalesce("more", F.lit("")))).drop("more")
     return out
@@ -41,8 +53,13 @@ def _oriented(reads: DataFrame) -> DataFrame:
     return reads.select("name", "mate", "qual", strands.alias("o")).select("name", "mate", "qual", "o.rev", F.col("o.s").alias("seq"))
 
 
-def at_reference(df: DataFrame, tiles: DataFrame, start: Column, length: Column, name: str = "ref", tile_len: int = 32, most: int = MAX_READ) -> DataFrame:
-    """``df`` plus the reference bases from 0-based ``start``; rows that leave the contig go."""
+def at_reference(df: DataFrame, tiles: DataFrame, start: Column, length: Column, name: str = "ref", tile_len: int = 32, most: int | None = None) -> DataFrame:
+    """``df`` plus the reference bases from 0-based ``start``; rows that leave the contig go.
+
+    ``most`` is the largest ``length``; without it, it is computed from ``df``.
+    """
+    if most is None:
+        most = df.agg(F.max(length)).first()[0] or 0
     w = windows(tiles, most, tile_len).select(F.col("contig").alias("_c"), F.col("tile").alias("_t"), "window")
     out = df.withColumn("_s", start).withColumn("_n", length).where("_s >= 0")
     out = out.join(w, (F.col("contig") == F.col("_c")) & (F.floor(F.col("_s") / tile_len) == F.col("_t")))
@@ -52,6 +69,7 @@ def at_reference(df: DataFrame, tiles: DataFrame, start: Column, length: Column,
 
 def candidates(reads: DataFrame, tiles: DataFrame, k: int = K, offsets: tuple[int, ...] = OFFSETS, max_nm: int = 4, max_occ: int = 200, tile_len: int = 32) -> DataFrame:
     """(name, mate, rev, contig, pos, seq, qual, nm): every place that a seed votes for with at most ``max_nm`` mismatches."""
+    most = longest(reads)
     both = _oriented(reads)
     seeds = both.select("*", F.explode(F.array(*(F.struct(F.lit(o).alias("o"), F.substring("seq", o + 1, k).alias("kmer")) for o in offsets))).alias("seed"))
     seeds = seeds.select("name", "mate", "rev", "seq", "qual", "seed.o", "seed.kmer").where(F.length("kmer") == k)
@@ -59,8 +77,8 @@ def candidates(reads: DataFrame, tiles: DataFrame, k: int = K, offsets: tuple[in
     # reads are dealt by name once; duplicates, pairing and the best hit stay there
     places = hits.select("name", "mate", "rev", "contig", (F.col("pos0") - F.col("o")).alias("start0"), "seq", "qual")
     places = places.repartition("name").dropDuplicates(["name", "mate", "rev", "contig", "start0"])
-    placed = at_reference(places, tiles, F.col("start0"), F.length("seq"), tile_len=tile_len)
-    nm = mismatches(packed(F.col("seq"), MAX_READ), packed(F.col("ref"), MAX_READ))
+    placed = at_reference(places, tiles, F.col("start0"), F.length("seq"), tile_len=tile_len, most=most)
+    nm = mismatches(packed(F.col("seq"), most), packed(F.col("ref"), most))
     qual = F.when(F.col("rev"), F.reverse("qual")).otherwise(F.col("qual"))
     out = placed.withColumn("nm", nm.cast("int")).where(F.col("nm") <= max_nm)
     return out.select("name", "mate", "rev", "contig", (F.col("start0") + 1).alias("pos"), "seq", qual.alias("qual"), "nm")
@@ -113,6 +131,7 @@ def splice_junctions(reads: DataFrame, tiles: DataFrame, k: int = K, min_gap: in
     ``reads(name, seq)``. Donor is the last base before the gap, acceptor the
     first after it; of the splits with fewest mismatches the leftmost counts.
     """
+    most = longest(reads)
     both = _oriented(reads.select("name", F.lit(0).alias("mate"), "seq", F.lit("").alias("qual")))
     index = reference_kmers(tiles, k, max_occ, tile_len)
     left = index.select(F.col("kmer").alias("first"), "contig", F.col("pos0").alias("l"))
@@ -121,12 +140,12 @@ def splice_junctions(reads: DataFrame, tiles: DataFrame, k: int = K, min_gap: in
     anchored = both.where(n >= 2 * k).withColumn("first", F.substring("seq", 1, k)).withColumn("last", F.expr(f"substr(seq, -{k})"))
     gap = F.col("r") - F.col("l") - (n - k)
     spans = anchored.join(left, "first").join(right, ["last", "contig"]).where((gap >= min_gap) & (gap <= max_gap))
-    spans = at_reference(spans, tiles, F.col("l"), n, "refl", tile_len)
-    spans = at_reference(spans, tiles, F.col("r") + k - n, n, "refr", tile_len)
+    spans = at_reference(spans, tiles, F.col("l"), n, "refl", tile_len, most)
+    spans = at_reference(spans, tiles, F.col("r") + k - n, n, "refr", tile_len, most)
 
     def split(s: Column) -> Column:
         merged = F.concat(F.substr("refl", F.lit(1), s), F.substr("refr", s + 1))
-        return F.struct(mismatches(packed(F.col("seq"), MAX_READ), packed(merged, MAX_READ)).alias("nm"), s.alias("s"))
+        return F.struct(mismatches(packed(F.col("seq"), most), packed(merged, most)).alias("nm"), s.alias("s"))
 
     best = F.array_min(F.transform(F.sequence(F.lit(k), n - k), split))
     placed = spans.withColumn("best", best).where(F.col("best.nm") <= max_nm)

@@ -1,6 +1,7 @@
 """Truth, invariance, formats and plans of the sequencing operators."""
 
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -31,6 +32,25 @@ def test_reads_are_at_their_true_place_and_planted_snps_are_called(spark):
     aligned.unpersist()
 
 
+@pytest.mark.parametrize("n", [100, 150])
+def test_long_reads_align_and_count_every_mismatch(spark, n):
+    r = random.Random(n)
+    genome = "".join(r.choice("ACGT") for _ in range(640))
+    tiles = spark.createDataFrame([("c", i // 32, i, genome[i : i + 32]) for i in range(0, 640, 32)], "contig string, tile long, start0 long, seq string")
+    swap = str.maketrans("ACGT", "CATG")
+    rows = []
+    for start in range(0, 640 - n + 1, 13):
+        s = genome[start : start + n]
+        rows.append((f"r{start}", 1, s[:-9] + s[-9:-6].translate(swap) + s[-6:], "I" * n))
+    bad = genome[:70] + genome[70:80].translate(swap) + genome[80:n]  # ten mismatches beyond the first 60 bases
+    reads = spark.createDataFrame([*rows, ("bad", 1, bad, "I" * n)], "name string, mate int, seq string, qual string")
+    got = {x["name"]: (x["pos"], x["nm"]) for x in align.align_reads(reads, tiles).collect()}
+    assert got == {f"r{s}": (s + 1, 3) for s in range(0, 640 - n + 1, 13)}
+    spliced = spark.createDataFrame([("j", genome[40 : 40 + n // 2] + genome[300 : 300 + n // 2])], "name string, seq string")
+    found = align.splice_junctions(spliced, tiles).collect()
+    assert len(found) == 1 and found[0]["acceptor"] - found[0]["donor"] == 300 - (40 + n // 2) + 1
+
+
 def test_alignment_does_not_depend_on_partitions(spark):
     reads, tiles = frame(spark, DATA, "reads").where("name < 'r0000200'"), frame(spark, DATA, "contig_tiles")
     a, b = (sorted(map(tuple, align.align_reads(reads.repartition(n), tiles).collect())) for n in (1, 7))
