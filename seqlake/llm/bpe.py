@@ -6,10 +6,16 @@ of a piece form a non-deterministic transducer: a configuration is a token
 history and the bytes of the token in progress. Subsets of configurations are
 determinised on demand, one (state, byte) at a time; a token is emitted as soon
 as all live configurations agree on it, which looks ahead by no more than the
-longest vocabulary entry.
+longest vocabulary entry. Where few tokens can still come of the bytes in
+progress, a configuration in which none of them may follow the token before is
+dropped, and one in which all may forgets that token: agreement comes early,
+and states are shared by most histories.
 
-Decoding. Token bytes run through an incremental UTF-8 machine that holds back
-the at most three bytes of an unfinished character.
+Decoding. An incremental UTF-8 machine, a table of states and bytes, is composed
+with the vocabulary into a table of states and tokens; ids run through that, a
+chunk at a time, and the at most three bytes of an unfinished character are held
+back until the next. Only chunks with broken characters take the machine byte by
+byte; each broken sequence gives one replacement character.
 
 Edge cases: null text is the empty text and has no tokens; every row of a table
 gives one row of output, repeated rows and null ids included; other input
@@ -31,6 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+FEW = 24  # tokens below a trie node that are tried against the token before, all at once
+MIXED, NONE, ALL = range(3)
+
+
 class Transducer:
     """Lazily determinised transducer of one rank table."""
 
@@ -38,25 +48,34 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.max_transitions = max_transitions
-        self.kids: list[dict[int, int]] = [{}]  # trie of the vocabulary; node 0 is its root
-        self.token_at = [-1]
-        for token, rank in ranks.items():
+        # trie of the vocabulary; node 0 is its root, and a node's tokens are a range of the sorted ones
+        self.kids: dict[int, int] = {}
+        self.token_at, self.low, self.high = [-1], [0], [len(ranks)]
+        ordered = sorted(ranks)
+        self.ordered = [ranks[token] for token in ordered]
+        for place, token in enumerate(ordered):
             node = 0
             for byte in token:
-                node = self.kids[node].setdefault(byte, len(self.kids))
-                if node == len(self.kids):
-                    self.kids.append({})
+                kid = self.kids.setdefault(node << 8 | byte, len(self.token_at))
+                if kid == len(self.token_at):
                     self.token_at.append(-1)
-            self.token_at[node] = rank
+                    self.low.append(place)
+                    self.high.append(place)
+                node = kid
+                self.high[node] = place + 1
+            self.token_at[node] = ranks[token]
         self.fits: dict[tuple[int, int], bool] = {}
         self.spines: dict[int, tuple | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # a configuration is (history, trie node of the bytes in progress); history[0] was emitted already
+        # a configuration is (history, trie node of the bytes in progress); history[0] was emitted already, or is -1
+        # where it decides nothing any more
         self.states: list[tuple] = [(((-1,), 0),)]
         self.numbers = {self.states[0]: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.views: dict[tuple[int, int], int] = {}
+        self.fits.clear()
 
     def _spines(self, token: int) -> tuple | None:
         """How the first and the last symbol of a token grow: ((symbol, rank), ...) each.
@@ -105,22 +124,32 @@ class Transducer:
             else:
                 j += 1
 
+    def _fit(self, left: int, token: int) -> bool:
+        if (fit := self.fits.get((left, token))) is None:
+            fit = self.fits[left, token] = self._follows(left, token)
+        return fit
+
+    def _view(self, left: int, node: int) -> int:
+        """Whether ALL tokens below a node may follow ``left``, or NONE; MIXED also where they are many."""
+        low, high = self.low[node], self.high[node]
+        if left < 0 or high - low > FEW:
+            return MIXED
+        if (view := self.views.get((left, node))) is None:
+            n = sum(self._follows(left, token) for token in self.ordered[low:high])
+            view = self.views[left, node] = ALL if n == high - low else NONE if not n else MIXED
+        return view
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        live, kids, token_at, fits = [], self.kids, self.token_at, self.fits
+        live: list[tuple[tuple[int, ...], int]] = []
         for history, node in self.states[state]:
-            node = kids[node].get(byte)
-            if node is None:
+            node = self.kids.get(node << 8 | byte)
+            if node is None or (view := self._view(history[-1], node)) == NONE:
                 continue
-            live.append((history, node))
-            token = token_at[node]
-            if token >= 0:
-                pair = (history[-1], token)
-                if (fit := fits.get(pair)) is None:
-                    if len(fits) > 4 * self.max_transitions:
-                        fits.clear()
-                    fit = fits[pair] = self._follows(*pair)
-                if fit:
-                    live.append(((*history, token), 0))
+            token = self.token_at[node]
+            ends = token >= 0 and (view == ALL or self._fit(history[-1], token))
+            live.append(((-1,) if view == ALL and len(history) == 1 else history, node))
+            if ends:
+                live.append(((-1, *history[1:], token), 0))
         out = []
         while live:
             agreed = live[0][0]
@@ -130,9 +159,7 @@ class Transducer:
             if any(len(h) < 2 or h[1] != ended for h, _ in live):
                 break
             out.append(ended)
-            live = [(h[1:], node) for h, node in live]
-        if live and all(len(h) > 1 for h, _ in live):  # the emitted token decides nothing any more
-            live = [((-2, *h[1:]), node) for h, node in live]
+            live = [((ended,) if len(h) == 2 else (-1, *h[2:]), node) for h, node in live]
         after = tuple(live)
         number = self.numbers.get(after)
         if number is None:
@@ -148,10 +175,9 @@ class Transducer:
             self._reset()
         state, out, steps = 0, [], self.steps
         for byte in piece:
-            made = steps.get(state << 8 | byte) or self._step(state, byte)
-            state = made[0]
-            if made[1]:
-                out.extend(made[1])
+            state, emitted = steps.get(state << 8 | byte) or self._step(state, byte)
+            if emitted:
+                out.extend(emitted)
         for history, node in self.states[state]:
             if not node:
                 return out + list(history[1:])
@@ -159,42 +185,81 @@ class Transducer:
 
 
 class Pieces(dict):
-    """Encoded pieces seen lately, as packed little-endian ids; bounded."""
+    """Encoded pieces seen lately, as packed little-endian ids: two generations of bounded size."""
 
-    def __init__(self, transducer: Transducer, most: int = 300_000):
-        self.transducer, self.most = transducer, most
+    def __init__(self, transducer: Transducer, most: int = 150_000):
+        self.transducer, self.most, self.older = transducer, most, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
+        if (ids := self.older.get(piece)) is None:
+            ids = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
         if len(piece) <= 64:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
+START, BROKEN = 0, 8
+
+
+def _utf8_steps() -> np.ndarray:
+    """The UTF-8 machine: the state after a state and a byte.
+
+    States 1 to 3 wait for so many more continuation bytes, states 4 to 7 for
+    the second byte after E0, ED, F0 and F4, whose range is narrower.
+    """
+    steps = np.full((9, 256), BROKEN, np.uint8)
+    steps[START, :0x80] = START
+    for state, first, last in ((1, 0xC2, 0xDF), (2, 0xE1, 0xEF), (3, 0xF1, 0xF3), (4, 0xE0, 0xE0), (5, 0xED, 0xED), (6, 0xF0, 0xF0), (7, 0xF4, 0xF4)):
+        steps[START, first : last + 1] = state
+    for state, first, last, after in ((1, 0x80, 0xBF, 0), (2, 0x80, 0xBF, 1), (3, 0x80, 0xBF, 2), (4, 0xA0, 0xBF, 1), (5, 0x80, 0x9F, 1), (6, 0x90, 0xBF, 2), (7, 0x80, 0x8F, 2)):
+        steps[state, first : last + 1] = after
+    return steps
+
+
+STEPS = _utf8_steps()
+
+
 class Utf8Stream:
     """Incremental UTF-8 decoder: feed bytes in any cuts, get whole characters."""
 
     def __init__(self) -> None:
-        self.held = b""
+        self.state, self.held, self.steps = START, b"", STEPS.tolist()
 
-    def feed(self, data: bytes) -> str:
+    def feed(self, data: bytes, after: int = BROKEN) -> str:
+        """The characters that ``data`` completes. ``after``: the state after it, where a table of tokens gave that."""
+        if after == BROKEN:
+            return self._each(data)
         data = self.held + data
-        keep = 0
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if byte & 0xC0 == 0x80:  # continuation: its lead byte is further back
+        end = len(data)
+        if after != START:  # back to the first byte of the unfinished character
+            end -= 1
+            while data[end] & 0xC0 == 0x80:
+                end -= 1
+        self.state, self.held = after, data[end:]
+        return data[:end].decode()
+
+    def _each(self, data: bytes) -> str:
+        at, data = len(self.held), self.held + data
+        out, state, whole, first = [], self.state, 0, 0  # whole: where text that was not given yet begins; first: the character in hand
+        while at < len(data):
+            after = self.steps[state][data[at]]
+            if after == BROKEN:
+                out += [data[whole:first].decode(), "\ufffd"]
+                at += state == START  # else the byte may begin a character of its own
+                state, whole, first = START, at, at
                 continue
-            need = 4 if byte >= 0xF0 else 3 if byte >= 0xE0 else 2 if byte >= 0xC0 else 1
-            keep = back if need > back else 0
-            break
-        self.held = data[len(data) - keep :] if keep else b""
-        return (data[: len(data) - keep] if keep else data).decode("utf-8", "replace")
+            state, at = after, at + 1
+            if state == START:
+                first = at
+        self.state, self.held = state, data[first:]
+        return "".join([*out, data[whole:first].decode()])
 
     def close(self) -> str:
-        rest, self.held = self.held, b""
-        return rest.decode("utf-8", "replace")
+        rest, self.state, self.held = self.held, START, b""
+        return "\ufffd" if rest else ""
 
 
 class Codec:
@@ -203,22 +268,49 @@ class Codec:
             ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
         self.transducer = Transducer(ranks)
         self.pieces = Pieces(self.transducer)
-        self.find = regex.compile(pattern).finditer
+        self.pattern = regex.compile(pattern)
         top = max(ranks.values()) + 1
         self.bytes_of = [self.transducer.tokens.get(i, b"") for i in range(top)]
+        self.after = self._after()
+        self.whole = self.after[START] == START  # tokens of whole characters
+
+    def _after(self) -> np.ndarray:
+        """The UTF-8 machine's state after a state and a token: all tokens at once, a byte at a time."""
+        sizes = np.array([len(b) for b in self.bytes_of])
+        flat, starts = np.frombuffer(b"".join(self.bytes_of), np.uint8), np.concatenate([[0], sizes.cumsum()[:-1]])
+        states = np.repeat(np.arange(9, dtype=np.uint8)[:, None], len(sizes), axis=1)
+        for i in range(sizes.max()):
+            own = np.flatnonzero(sizes > i)
+            states[:, own] = STEPS[states[:, own], flat[starts[own] + i]]
+        return states
 
     def encode(self, text: str) -> bytes:
         """Packed little-endian ids of a whole text."""
-        get = self.pieces.__getitem__
-        return b"".join([get(m.group()) for m in self.find(text)])
-
-    def decode_stream(self, ids: bytes, chunk: int = 1 << 16) -> Iterator[tuple[bytes, str]]:
+        # findall gives tuples where the pattern has groups
+        found = self.pattern.findall(text) if not self.pattern.groups else [m.group() for m in self.pattern.finditer(text)]
+        return b"".join(map(self.pieces.__getitem__, found))
+
+    def _run(self, state: int, ids: np.ndarray) -> int:
+        """The UTF-8 machine's state after some tokens."""
+        odd = np.flatnonzero(~self.whole[ids]).tolist()
+        if state != START:
+            odd.insert(0, 0)
+        at = 0
+        for first in odd:  # tokens between these begin and end whole characters
+            at = max(at, first)
+            while at < len(ids) and (at == first or state != START):
+                state = int(self.after[state, ids[at]])
+                at += 1
+        return state
+
+    def decode_stream(self, ids: bytes, chunk: int = 4096) -> Iterator[tuple[bytes, str]]:
         """(bytes, characters completed by them) for each chunk of ids, then the rest."""
         stream, of = Utf8Stream(), self.bytes_of.__getitem__
         numbers = np.frombuffer(ids, "<u4")
         for at in range(0, len(numbers), chunk):
-            data = b"".join(map(of, numbers[at : at + chunk].tolist()))
-            yield data, stream.feed(data)
+            part = numbers[at : at + chunk]
+            data = b"".join(map(of, part.tolist()))
+            yield data, stream.feed(data, self._run(stream.state, part))
         yield b"", stream.close()
 
 
@@ -287,8 +379,8 @@ def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
                 n.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 digest = hashlib.sha256()
-                for data, _ in own.decode_stream(packed):
-                    digest.update(data)
+                for _, characters in own.decode_stream(packed):
+                    digest.update(characters.encode())
                 decoded_sha.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
