@@ -24,11 +24,13 @@ def held_out(doc_id: Column) -> Column:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Where the session names none (local tests), a temporary folder of this
-    machine is set for the session.
+    Where the session names none, a temporary folder of this machine is set for
+    the session if all of Spark runs on it; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="seqlake-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -61,14 +63,34 @@ class Scratch:
         self.paths.clear()
 
 
+HOT_DEGREE = 100_000  # neighbours of a node, beyond which its edges are dealt to several tasks
+HOT_NODES = 1000  # at most so many are: a node counts as hot only with a thousandth of all edges, too
+SALTS = 64
+
+
+def _with_lowest(both: DataFrame, n: int) -> DataFrame:
+    """(a, b, m) of the edges upwards: m is the least of a and its neighbours. No hub's edges meet in one task."""
+    low = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree")).select("a", F.least("a", "m").alias("m"), "degree")
+    up = both.where("b > a")
+    hot = low.where(F.col("degree") > max(HOT_DEGREE, n // HOT_NODES)).select("a").limit(2 * HOT_NODES + 1)  # 2n ends of edges: the limit cuts nothing
+    if n <= HOT_DEGREE or hot.isEmpty():
+        return up.join(low.drop("degree"), "a")
+    hot = F.broadcast(hot.withColumn("hot", F.lit(True)))
+    up = up.join(hot, "a", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("b"), F.lit(SALTS))).otherwise(F.lit(0)))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    low = low.join(hot, "a", "left").select("a", "m", F.explode(salts).cast("long").alias("salt"))
+    return up.drop("hot").join(low, ["a", "salt"]).drop("salt")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(a, b)`` as ``(node, root)``.
 
     ``root`` is the smallest node of the component. Alternating large-star and
-    small-star contraction: each round is two aggregations over edges, so no
-    component is ever gathered in one task, and the number of rounds grows with
-    the logarithm of the diameter. Every round is cut to the shared folder.
-    Self-loops and nulls are dropped; a node without an edge does not appear.
+    small-star contraction: each round is two aggregations over edges and joins
+    that deal a hub's edges to many tasks, so no component is ever gathered in
+    one, and the number of rounds grows with the logarithm of the diameter. Every
+    round is cut to the shared folder. Self-loops and nulls are dropped; a node
+    without an edge does not appear.
     """
     scratch = Scratch(edges.sparkSession)
     pairs = scratch.cut(
@@ -77,14 +99,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    seen = None
+    seen, n = None, pairs.count()
     for _ in range(max_rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: neighbours above a node go to its smallest neighbour
-        large = (
-            both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        ).distinct()
+        large = _with_lowest(both, n).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its lower neighbours go to the lowest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -100,7 +119,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         ).first()
         if seen == state:
             break
-        seen = state
+        seen, n = state, state["n"]
     else:
         raise RuntimeError("components did not converge")
     nodes = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
