@@ -3,12 +3,12 @@
 Words are hashed to buckets with an embedding each; filters of several widths
 slide over the words, each keeps its largest response in the document, and a
 logistic layer reads those maxima. A language is guessed from the words of the
-text, and the decision threshold of that language, calibrated on the fit's own
-rows, is moved to a score of 0.5.
+text, and the decision threshold of that language, calibrated on rows of the
+sample that no weight was fitted to, is moved to a score of 0.5.
 
 The fit reads a bounded sample: at most ``max_rows`` labelled documents, chosen
-by a hash of doc_id, of at most ``max_chars`` characters each, never those that
-are held out. Scoring reads every whole text.
+by a hash of doc_id, as many whole ones of them as have ``max_chars`` characters
+together, never those that are held out. Scoring reads every whole text.
 
 Edge cases: null text is the empty text and scores like it; repeated rows score
 alike; a document labelled more than once counts with its largest label; null
@@ -28,8 +28,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out
 
@@ -46,6 +47,8 @@ LANGUAGES = {
 
 
 STEM = 5  # letters by which rare words share an embedding
+APART, LEAST_APART = 5, 500  # every fifth row of a sample of so many is kept for the thresholds
+SLICE = 256  # rows of a batch of scores
 
 
 def bucket(word: str) -> int:
@@ -104,7 +107,7 @@ class Model:
 
 
 class _Rows(dict):
-    def __init__(self, rows: dict[int, int], most: int = 300_000):
+    def __init__(self, rows: dict[int, int], most: int = 150_000):
         self.rows, self.most = rows, most
 
     def __missing__(self, word: str) -> int:
@@ -122,7 +125,11 @@ def sigmoid(x):
 def train(texts: list[str], labels: np.ndarray, dim: int = 8, filters: int = 4, seed: int = 7) -> Model:
     """Fit on the rows given: labels 0 or 1."""
     rng = np.random.default_rng(seed)
-    labels = np.asarray(labels, float)
+    every, own = texts, np.asarray(labels, float)
+    apart = np.arange(len(texts)) % APART == 0  # for the thresholds; the order is that of a hash
+    if len(texts) < LEAST_APART or not 0 < own[apart].sum() < apart.sum():
+        apart[:] = False
+    texts, labels = [t for t, a in zip(every, apart, strict=True) if not a], own[~apart]
     n = len(texts)
     least = 5 if n >= 1000 else 3  # documents that a word or stem needs for a row of its own
     epochs = max(6, min(20, 20_000 // max(n, 1)))
@@ -163,6 +170,8 @@ def train(texts: list[str], labels: np.ndarray, dim: int = 8, filters: int = 4,
     if 0 < labels.sum() < n:
         _descend(model, ids, labels, epochs, rng)
         model.__post_init__()
+        if apart.any():
+            ids, labels = [model.ids(t) for t, a in zip(every, apart, strict=True) if a], own[apart]
         _calibrate(model, ids, labels)
     return model
 
@@ -250,16 +259,17 @@ def labelled(labels: DataFrame, name: str, max_rows: int) -> DataFrame:
     )
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 20_000) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 64_000_000) -> Model:
     sample = labelled(labels, "toxic", max_rows)  # bounded by max_rows: small enough to broadcast
     rows = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .where(F.length("text") <= max_chars)
         .join(F.broadcast(sample), "doc_id")
         .groupBy(F.xxhash64("text").alias("h"))
         .agg(F.max_by(F.struct("text", "label"), "doc_id").alias("r"))
         .orderBy("h")
         .limit(max_rows)
+        .withColumn("chars", F.sum(F.length("r.text")).over(Window.orderBy("h")))  # max_rows rows at most
+        .where(F.col("chars") <= max_chars)
         .select("r.*")
         .toPandas()
     )
@@ -273,11 +283,11 @@ def score(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
-            logits = np.array([own.logits([own.ids(x.as_py())])[0] for x in batch.column("text")], float)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(logits))], [*batch.schema.names, "score"])
-
-    from pyspark.sql import types as T
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):  # whole rows come back, in small batches
+                batch = whole.slice(at, SLICE)
+                logits = np.array([own.logits([own.ids(x.as_py())])[0] for x in batch.column("text")], float)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(logits))], [*batch.schema.names, "score"])
 
     base = documents.drop("score", "held_out", "predicted")
     out = T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType())])
