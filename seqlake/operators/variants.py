@@ -74,15 +74,16 @@ def contig_ranks(contigs: DataFrame, names: list[str] | None = None) -> DataFram
 
 
 def vcf_merge(shards: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(rank, contig, pos, ref, alt, qual, shard): one row a variant, the highest qual, then the lowest shard.
+    """(rank, contig, pos, ref, alt, qual, shard), and gt where shards have it: one row a variant, the highest qual, then the lowest shard.
 
     Contigs that the header lacks have the last rank.
     """
-    best = F.max_by(F.struct("qual", "shard"), F.struct("qual", -F.col("shard"))).alias("b")
+    more = ["gt"] if "gt" in shards.columns else []
+    best = F.max_by(F.struct("qual", "shard", *more), F.struct("qual", -F.col("shard"), *more)).alias("b")
     merged = shards.groupBy("contig", "pos", "ref", "alt").agg(best).select("contig", "pos", "ref", "alt", "b.*")
     # the header names every contig of the genome: small by nature, joined as Spark sees fit
     return merged.join(ranks.select("contig", "rank"), "contig", "left").select(
-        F.coalesce("rank", F.lit(2**31 - 1)).alias("rank"), "contig", "pos", "ref", "alt", "qual", "shard"
+        F.coalesce("rank", F.lit(2**31 - 1)).alias("rank"), "contig", "pos", "ref", "alt", "qual", "shard", *more
     )
 
 

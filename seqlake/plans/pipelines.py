@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import read_key
 from ..operators import align, intervals, recal, rnaseq, variants
+from ..sources import text
 
 
 def _merged(calls: DataFrame, contigs: DataFrame, bin_size: int) -> DataFrame:
     shards = calls.withColumn("shard", F.floor((F.col("pos") - 1) / bin_size).cast("int"))
-    return variants.vcf_merge(shards.select("shard", "contig", "pos", "ref", "alt", "qual"), variants.contig_ranks(contigs))
+    return variants.vcf_merge(shards.select("shard", "contig", "pos", "ref", "alt", "qual", "gt"), variants.contig_ranks(contigs))
 
 
 def snp_pipeline(reads: DataFrame, tiles: DataFrame, contigs: DataFrame, bin_size: int = 1_000_000) -> DataFrame:
-    """Align, call and merge: (rank, contig, pos, ref, alt, qual, shard)."""
+    """Align, call and merge: (rank, contig, pos, ref, alt, qual, shard, gt)."""
     return _merged(variants.call_snps(align.align_reads(reads, tiles), tiles), contigs, bin_size)
 
 
+def snp_file(spark: SparkSession, first: str, second: str, tiles: DataFrame, contigs: DataFrame, out: str, bin_size: int = 1_000_000) -> None:
+    """FASTQ files of both mates in, one VCF file with genotypes out."""
+    mates = [text.fastq_scan(spark, [path]).select(read_key(F.col("name")).alias("name"), F.lit(mate).alias("mate"), "seq", "qual") for mate, path in ((1, first), (2, second))]
+    calls = snp_pipeline(variants.union_shards(*mates), tiles, contigs, bin_size)
+    text.vcf_write(calls, variants.contig_ranks(contigs), out)
+
+
 def recalibrated_calls(alignments: DataFrame, tiles: DataFrame, contigs: DataFrame, bin_size: int = 1_000_000) -> DataFrame:
     """Call, count covariates off the calls by mate and merge them, recalibrate, call again, merge.
 

@@ -35,8 +35,12 @@ def query(oracle: str) -> Callable[[Query], Query]:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder that all executors see: under spark.checkpoint.dir, or local where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="seqlake-")
+    """A new folder that all executors see: under spark.checkpoint.dir, or local where all of Spark runs on this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="seqlake-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -156,7 +160,7 @@ def sam_scan(spark: SparkSession, d: str) -> DataFrame:
     SELECT -3 AS r, 0 AS pos, '' AS ref, '' AS alt, '##fileformat=VCFv4.2' AS value
     UNION ALL SELECT -2, rank, '', '', '##contig=<ID='||contig||',length='||CAST(len AS STRING)||'>' FROM ranks
     UNION ALL SELECT -1, 0, '', '', concat_ws(chr(9), '#CHROM','POS','ID','REF','ALT','QUAL','FILTER','INFO','FORMAT','sample')
-    UNION ALL SELECT rank, pos, ref, alt, concat_ws(chr(9), contig, CAST(pos AS STRING), '.', ref, alt, CAST(qual AS STRING), '.', '.', 'GT', '1/1') FROM merged_vcf)""")
+    UNION ALL SELECT rank, pos, ref, alt, concat_ws(chr(9), contig, CAST(pos AS STRING), '.', ref, alt, CAST(qual AS STRING), '.', '.', 'GT', gt) FROM merged_vcf)""")
 def vcf_write(spark: SparkSession, d: str) -> DataFrame:
     ranks = variants.contig_ranks(frame(spark, d, "contig_lens"))
     path = scratch(spark, "vcf")
@@ -415,7 +419,7 @@ def latest_job_status(spark: SparkSession, d: str) -> DataFrame:
 def natural_sort(spark: SparkSession, d: str) -> DataFrame:
     rows = frame(spark, d, "exons").select("contig", "start", "transcript_id").distinct()
     path = scratch(spark, "sorted")
-    rows.orderBy(*scalars.natural_key(F.col("contig")), "start", "transcript_id").coalesce(1).select(F.concat_ws("\t", "contig", F.col("start").cast("string"), "transcript_id").alias("value")).write.text(path)
+    intervals.natural_sort(rows, "contig", "start", "transcript_id").coalesce(1).select(F.concat_ws("\t", "contig", F.col("start").cast("string"), "transcript_id").alias("value")).write.text(path)
     parts = F.split("value", "\t")
     return text.numbered_lines(spark, path).select(parts[0].alias("contig"), parts[1].cast("bigint").alias("start"), parts[2].alias("transcript_id"), "idx")
 
@@ -431,12 +435,12 @@ def dedupe_transcripts(spark: SparkSession, d: str) -> DataFrame:
     return intervals.dedupe_transcripts(intervals.gtf_project(pairs)).select("transcript_id", "contig", "fid", "start", F.col("end").alias("stop"), "strand")
 
 
-@query("SELECT rank, contig, pos, ref, alt, qual, shard FROM merged_vcf")
+@query("SELECT rank, contig, pos, ref, alt, qual, shard, gt FROM merged_vcf")
 def vcf_merge(spark: SparkSession, d: str) -> DataFrame:
     return variants.vcf_merge(frame(spark, d, "vcf_shards"), variants.contig_ranks(frame(spark, d, "contig_lens")))
 
 
-@query("SELECT shard, contig, pos, ref, alt, qual FROM vcf_shards UNION ALL SELECT shard, contig, pos, ref, alt, qual FROM vcf_shards WHERE shard = 0")
+@query("SELECT shard, contig, pos, ref, alt, qual, gt FROM vcf_shards UNION ALL SELECT shard, contig, pos, ref, alt, qual, gt FROM vcf_shards WHERE shard = 0")
 def union_shards(spark: SparkSession, d: str) -> DataFrame:
     shards = frame(spark, d, "vcf_shards")
     return variants.union_shards(shards, shards.where("shard = 0"))
@@ -514,12 +518,12 @@ def apply_per_read_batch(spark: SparkSession, d: str) -> DataFrame:
 # Pipelines
 
 
-@query("""SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual FROM calls LEFT JOIN ranks k USING (contig)""")
+@query("""SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual, gt FROM calls LEFT JOIN ranks k USING (contig)""")
 def snp_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.snp_pipeline(_reads(spark, d), _tiles(spark, d), frame(spark, d, "contig_lens"), BIN).drop("shard")
 
 
-@query("SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual FROM recalled LEFT JOIN ranks k USING (contig)")
+@query("SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual, gt FROM recalled LEFT JOIN ranks k USING (contig)")
 def recalibrated_calls(spark: SparkSession, d: str) -> DataFrame:
     hits = _written(_aligned(spark, d), "aligned")
     return pipelines.recalibrated_calls(hits, _tiles(spark, d), frame(spark, d, "contig_lens"), BIN).drop("shard")

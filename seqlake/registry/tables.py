@@ -42,7 +42,8 @@ TABLES: dict[str, str | tuple[str, str]] = {
         UNION ALL
         SELECT o, 'r'||lpad(CAST(o AS STRING),7,'0') AS name, 2 AS mate, contig, st+100 AS st, reverse(translate(substr(seq,CAST(st+101 AS INT),40),'ACGT','TGCA')) AS s FROM ({PLACED}) b) r""",
     "reads": "SELECT name, mate, seq, qual FROM placed_reads",
-    "vcf_shards": """SELECT CAST(o_orderkey % 8 AS INT) AS shard, q.contig, q.pos, r.base AS ref, translate(r.base,'ACGT','CGTA') AS alt, q.qual
+    "vcf_shards": """SELECT CAST(o_orderkey % 8 AS INT) AS shard, q.contig, q.pos, r.base AS ref, translate(r.base,'ACGT','CGTA') AS alt, q.qual,
+        CASE WHEN (q.qual + q.o_orderkey % 8) % 3 = 0 THEN '0/1' ELSE '1/1' END AS gt
       FROM (SELECT o_orderkey, 'chr'||CAST(o_custkey % 25 AS STRING) AS contig, 1+(o_orderkey*7919) % 200 AS pos,
                    CAST(floor(o_totalprice/1000) AS BIGINT) AS qual FROM orders) q
       JOIN ref_bases r ON r.contig=q.contig AND r.pos=q.pos""",

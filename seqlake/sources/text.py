@@ -167,7 +167,7 @@ def sam_scan(lines: DataFrame) -> DataFrame:
 def vcf_lines(calls: DataFrame, contigs: DataFrame, sample: str = "sample") -> DataFrame:
     """(rank, pos, ref, alt, value): header and data lines, to be sorted by the first four.
 
-    ``calls(contig, pos, ref, alt, qual)`` and ``contigs(contig, len, rank)``.
+    ``calls(contig, pos, ref, alt, qual, gt)`` and ``contigs(contig, len, rank)``; without ``gt`` no genotype is known.
     """
     head = calls.sparkSession.createDataFrame([(-3, "##fileformat=VCFv4.2")], "k int, value string").select(F.lit(-3).cast("bigint").alias("rank"), F.lit(0).cast("bigint").alias("pos"), F.lit("").alias("ref"), F.lit("").alias("alt"), "value")
     lens = contigs.select(
@@ -175,15 +175,16 @@ def vcf_lines(calls: DataFrame, contigs: DataFrame, sample: str = "sample") -> D
         F.format_string("##contig=<ID=%s,length=%s>", "contig", F.col("len").cast("string")).alias("value"),
     )
     names = head.select(F.lit(-1).cast("bigint").alias("rank"), "pos", "ref", "alt", F.lit("\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", sample])).alias("value"))
+    gt = F.coalesce("gt", F.lit("./.")) if "gt" in calls.columns else F.lit("./.")
     data = calls.drop("rank").join(contigs.select("contig", "rank"), "contig", "left").select(
         F.coalesce(F.col("rank").cast("bigint"), F.lit(1 << 62)).alias("rank"), F.col("pos").cast("bigint").alias("pos"), "ref", "alt",
-        F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.col("qual").cast("string"), F.lit("."), F.lit("."), F.lit("GT"), F.lit("1/1")).alias("value"),
+        F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.col("qual").cast("string"), F.lit("."), F.lit("."), F.lit("GT"), gt).alias("value"),
     )
     return head.unionByName(lens).unionByName(names).unionByName(data)
 
 
 def vcf_write(calls: DataFrame, contigs: DataFrame, path: str) -> None:
-    """One VCF file: the sort is distributed, only rendered lines meet in one task."""
+    """One VCF file: as it is one file, its rendered lines are sorted and written by one task."""
     vcf_lines(calls, contigs).orderBy("rank", "pos", "ref", "alt").select("value").coalesce(1).write.mode("errorifexists").text(path)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqlake.functions import scalars
 from seqlake.operators import align, intervals, jobs, rnaseq, variants
+from seqlake.plans import pipelines
 from seqlake.registry.tables import frame
 from seqlake.sources import text
 
@@ -170,3 +171,26 @@ def test_plans_have_no_nested_loops(spark):
 
 def test_scans_read_the_columns_they_need(spark):
     assert "ReadSchema: struct<p_partkey" in plan(frame(spark, DATA, "contig_tiles"))
+
+
+def test_fastq_in_one_vcf_with_genotypes_out(spark, tmp_path):
+    reads, tiles, contigs = (frame(spark, DATA, t) for t in ("reads", "contig_tiles", "contig_lens"))
+    for mate in (1, 2):
+        own = reads.where(f"mate = {mate}").select(F.concat_ws("/", "name", "mate").alias("name"), F.lit("").alias("description"), "seq", "qual")
+        text.fastq_lines(own).write.text(f"{tmp_path}/{mate}")
+    pipelines.snp_file(spark, f"{tmp_path}/1", f"{tmp_path}/2", tiles, contigs, f"{tmp_path}/vcf")
+    lines = [r["value"] for r in text.numbered_lines(spark, f"{tmp_path}/vcf").orderBy("idx").collect()]
+    data = [x.split("\t") for x in lines if not x.startswith("#")]
+    calls = {(r["contig"], r["pos"], r["alt"]): r["gt"] for r in variants.call_snps(align.align_reads(reads, tiles), tiles).collect()}
+    assert {(x[0], int(x[1]), x[4]): x[9] for x in data} == calls and len(data) == len(calls) > 0
+    places = [(int(x[0][3:]), int(x[1])) for x in data]
+    assert lines[0] == "##fileformat=VCFv4.2" and places == sorted(places)
+
+
+def test_genotypes_stay_with_the_best_shard(spark):
+    shards = spark.createDataFrame([(1, "c1", 5, "A", "C", 30, "0/1"), (0, "c1", 5, "A", "C", 20, "1/1"), (2, "c1", 9, "A", "G", 30, None)], "shard int, contig string, pos long, ref string, alt string, qual long, gt string")
+    ranks = spark.createDataFrame([("c1", 20, 1)], "contig string, len long, rank int")
+    merged = variants.vcf_merge(shards, ranks)
+    assert {r["pos"]: (r["qual"], r["gt"]) for r in merged.collect()} == {5: (30, "0/1"), 9: (30, None)}
+    ends = sorted(r["value"].rsplit("\t", 1)[1] for r in text.vcf_lines(merged, ranks).where("rank > 0").collect())
+    assert ends == ["./.", "0/1"]
