@@ -74,3 +74,69 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {}
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# every word with the nine after it, against every window of an item
+ORACLES["op8_benchmark_decontamination"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, w[k : k + 9] AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS k FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM windows),
+words AS (SELECT r, generate_subscripts(w, 1) AS k, unnest(w) AS word FROM docs),
+ahead AS (SELECT r, k, list(word) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM words),
+places AS (SELECT a.r, a.k, s.n, x.item_id FROM ahead a JOIN sizes s ON len(a.l) >= s.n JOIN windows x ON x.win = a.l[1 : s.n]),
+hits AS (SELECT r, count(DISTINCT k + o) AS n_hit FROM (SELECT r, k, unnest(range(0, n)) AS o FROM places) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM places) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)"""
+
+
+def _spans(nth: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Spans of a kind: lengths of what is between matches and of matches, summed along the text."""
+    pattern = pattern.replace("'", "''")
+    return rf"""SELECT r, {nth} AS nth, '{kind}' AS kind, stop - m AS start, stop FROM (
+        SELECT *, CAST(sum(g + m) OVER (PARTITION BY r ORDER BY k) AS BIGINT) AS stop FROM (
+          SELECT r, generate_subscripts(matches, 1) AS k, unnest(list_transform(gaps[1 : len(matches)], lambda x: length(x))) AS g,
+            unnest(list_transform(matches, lambda x: length(x))) AS m, unnest(list_transform(tested, lambda x: length(x))) AS v
+          FROM (SELECT r, regexp_split_to_array(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}', 0) AS matches,
+            regexp_extract_all(t, '{pattern}', {group}) AS tested FROM docs))) WHERE v >= {least}"""
+
+
+KINDS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("forge_token", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+)
+
+ORACLES["op10_secret_scans"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(_spans(n, *k) for n, k in enumerate(KINDS))}),
+named AS (SELECT r, nth, start, concat_ws(':', kind, start, stop) AS span FROM spans),
+own AS (SELECT r, count(*) FILTER (WHERE nth = 0) AS n_assign, count(*) FILTER (WHERE nth = 1) AS n_access, count(*) FILTER (WHERE nth = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, nth) FILTER (WHERE nth < 3) AS base, string_agg(span, ',' ORDER BY start, nth) AS spans FROM named GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN own USING (r)"""
+
+# equal sets once; pairs by their shingles; the least id that links reach
+ORACLES["op4_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT r, len(w) AS n, generate_subscripts(w, 1) AS k, unnest(w) AS word FROM docs),
+runs AS (SELECT r, n, list(word) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS l, k FROM words),
+shingles AS (SELECT DISTINCT r, array_to_string(l, ' ') AS s FROM runs WHERE k <= greatest(n - 4, 1)),
+sets AS (SELECT r, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS f FROM shingles GROUP BY r),
+classes AS (SELECT f, min(r) AS r, any_value(n) AS n, min(doc_id) AS least FROM sets JOIN docs USING (r) GROUP BY f),
+entries AS (SELECT c.r, c.n, s FROM classes c JOIN shingles USING (r)),
+links AS (SELECT a.r AS a, b.r AS b FROM entries a JOIN entries b ON a.s = b.s AND a.r < b.r AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+    GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT r AS x, r AS y FROM classes UNION SELECT x, b FROM reached JOIN both_ways ON a = y),
+roots AS (SELECT x, min(least) AS component_id FROM reached JOIN classes ON classes.r = y GROUP BY x)
+SELECT doc_id, coalesce(s.n, 0) AS n_shingles, CASE WHEN s.n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM docs LEFT JOIN sets s USING (r) LEFT JOIN classes USING (f) LEFT JOIN roots ON roots.x = classes.r"""
