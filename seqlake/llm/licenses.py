@@ -3,8 +3,10 @@
 All rolling word k-grams of a document are joined to the k-grams of license
 templates. A match votes for the diagonal (place in the document less place in
 the template); votes of neighbouring diagonals are merged, so that a word more
-or less does not split a hit; a hit is verified by the share of the template's
-k-grams that its span has. Beside these, phrases name licenses outright.
+or less does not split a hit. A hit is verified by the share of the template's k-grams
+that its span has and by the span's length; of hits whose spans overlap, only the
+best one stays, so that of similar notices one gives its label. Beside these,
+phrases name licenses outright.
 
 Edge cases: null text has no words; rows of equal id and text share one result;
 an empty table gives no rows; columns other than doc_id and text are ignored.
@@ -20,6 +22,7 @@ from .words import by_key, grams, keyed, words_of
 K = 3
 SLACK = 2  # diagonals this near are one hit
 COVERAGE = 0.6  # of a template's k-grams, for a verified hit
+STRETCH = 1.5  # words of a verified hit at most, to those of its template
 
 # Phrases, and opening words of public license notices.
 PHRASES = {"mit": ("mit", "license"), "apache": ("apache", "license"), "gpl": ("general", "public", "license")}
@@ -40,6 +43,12 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-sa", "licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
+    ("cc-by-nc-nd", "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
     ("cc-by", "licensed under cc by 4 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
@@ -77,7 +86,14 @@ def hits(documents: DataFrame) -> DataFrame:
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"), F.min("start").alias("start"), F.max("end").alias("end"))
         .withColumn("coverage", F.col("covered") / F.col("total"))
     )
-    return merged.where(F.col("coverage") >= COVERAGE).select("doc_id", "h", "label", "start", "end", "coverage")
+    verified = merged.where((F.col("coverage") >= COVERAGE) & (F.col("end") - F.col("start") <= STRETCH * (F.col("total") + K - 1)))
+    # spans that overlap, directly or through others, are one notice: its best hit stays
+    by_start = Window.partitionBy("doc_id", "h").orderBy("start", "end", "template")
+    reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")
+    notices = verified.withColumn("apart", apart).withColumn("notice", F.sum("apart").over(by_start))
+    best = F.max_by(F.struct("label", "start", "end", "coverage"), F.struct("coverage", "covered", -F.col("template"))).alias("b")
+    return notices.groupBy("doc_id", "h", "notice").agg(best).select("doc_id", "h", "b.*")
 
 
 def base_places(words: str = "words"):
