@@ -108,7 +108,7 @@ TABLES: dict[str, str | tuple[str, str]] = {
           CASE WHEN p.n*5 >= depth*4 THEN '1/1' WHEN p.n*5 >= depth THEN '0/1' END AS gt
         FROM recalled_piles p JOIN (SELECT contig, pos, CAST(sum(n) AS BIGINT) AS depth FROM recalled_piles GROUP BY ALL) d USING (contig, pos) JOIN ref_bases r USING (contig, pos)
         WHERE depth >= 4 AND p.base <> r.base) WHERE gt IS NOT NULL"""),
-    "merged_vcf": ("", """SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, qual, shard FROM (
+    "merged_vcf": ("", """SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, qual, shard, gt FROM (
         SELECT *, row_number() OVER (PARTITION BY contig, pos, ref, alt ORDER BY qual DESC, shard) AS first FROM vcf_shards) LEFT JOIN ranks k USING (contig) WHERE first = 1"""),
     "chains": ("", """SELECT transcript_id, contig, strand, count(*) AS n_exons, string_agg(CAST("end" AS STRING)||'-'||CAST(nx AS STRING), ',' ORDER BY start, "end") AS chain
         FROM (SELECT *, lead(start) OVER (PARTITION BY transcript_id ORDER BY start, "end") AS nx FROM exons) GROUP BY ALL"""),
