@@ -424,3 +424,96 @@ def test_compiled_rules_equal_the_model(spark):
 def test_registered_names():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
     json.dumps(sorted(queries.ORACLES))
+
+
+def test_stream_decoder_equals_the_whole_in_any_chunks():
+    codec, r = bpe.codec(PATH, tokenizers.PATTERN), random.Random(8)
+    for _ in range(300):
+        ids = [r.randrange(256) if r.random() < 0.7 else r.randrange(50_000) for _ in range(r.randint(1, 12))]
+        whole = b"".join(codec.bytes_of[i] for i in ids).decode("utf-8", "replace")
+        for chunk in (1, 2, 5, 100):
+            assert "".join(s for _, s in codec.decode_stream(np.array(ids, "<u4").tobytes(), chunk)) == whole
+
+
+def test_transducer_equals_the_library_after_resets_and_without_views(monkeypatch):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    want = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    r = random.Random(9)
+    pieces = ["".join(r.choice("etaoinshrdlu éс漢") for _ in range(r.randint(1, 30))) for _ in range(150)]
+    for few in (0, 24, 500):
+        monkeypatch.setattr(bpe, "FEW", few)
+        machine = bpe.Transducer(ranks, max_transitions=200)
+        assert all(machine.encode(p.encode()) == want.encode_ordinary(p) for p in pieces)
+
+
+def similar_lines(a, b):
+    x, y = ({s[i : i + 5] for i in range(len(s) - 4)} for s in (a.translate(LOWER), b.translate(LOWER)))
+    return len(x & y) >= 0.75 * len(x | y)
+
+
+def test_line_dedup_against_all_pairs(spark):
+    r = random.Random(12)
+    han = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(200))
+    originals = [prose(r.randint(4, 90), 5000 + i) for i in range(60)] + [han[i : i + 70] for i in range(0, 130, 70)] + [prose(1, 5100) * 30]
+    texts = []
+    for line in originals:
+        for _ in range(4):
+            chars = list(line)
+            for _ in range(r.randint(0, max(1, len(chars) // 45))):
+                chars[r.randrange(len(chars))] = r.choice("xyz ")
+            texts.append("".join(chars) if r.random() < 0.8 else "".join(chars[r.randint(0, len(chars) // 6) :]))
+    passage = prose(30, 5200)  # of lines that share a passage, few are near
+    texts += [f"{passage} {prose(30, 5300 + i)}" for i in range(60)]
+    texts += [texts[-1 - i] + " more" for i in range(30)]
+    got = {d["doc_id"]: d["component"] for d in lines.decisions(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if similar_lines(texts[a], texts[b])]
+    found = [a in got and b in got and got[a] == got[b] for a, b in near]
+    assert len(near) > 200 and sum(found) >= 0.95 * len(near)
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in near:
+        root[find(a)] = find(b)
+    parts = collections.defaultdict(set)
+    for i, c in got.items():
+        parts[c].add(find(i))
+    assert all(len(p) == 1 for p in parts.values())  # nothing goes that brute force would keep
+
+
+def test_components_with_hot_nodes(spark, monkeypatch):
+    monkeypatch.setattr("seqlake.llm.common.HOT_DEGREE", 10)
+    monkeypatch.setattr("seqlake.llm.common.HOT_NODES", 10)
+    edges = [(500, 1000 + i) for i in range(300)] + [(1000 + i, 2000 + i) for i in range(50)] + [(500, 7), (8, 9)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {n: 7 for e in edges[:-1] for n in e} | {8: 8, 9: 8}
+
+
+def test_each_notice_has_its_own_label_only(spark):
+    rows = [(i, f"Some words before. {text} 2020 and some words after.") for i, (_, text) in enumerate(licenses.TEMPLATES)]
+    got = {r["doc_id"]: set(r["labels"].split(",")) - {""} for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        based = {b for b, phrase in licenses.PHRASES.items() if f" {' '.join(phrase)} " in f" {text} "}
+        assert got[i] == {label} | based, text
+    far = spark.createDataFrame([(1, " ".join(w + " filler words here" for w in licenses.TEMPLATES[1][1].split()))], "doc_id long, text string")
+    assert licenses.scan(far).first()["labels"] == ""
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_same_rows_as_sql(spark, name):
+    import os
+
+    import duckdb
+
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("needs the given tables")
+    c = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        c.sql(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
+    want = c.sql(queries.ORACLES[name])
+    got = queries.QUERIES[name](spark, data).select(*want.columns)
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(want.fetchall())
