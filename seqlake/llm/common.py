@@ -77,8 +77,8 @@ def _with_lowest(both: DataFrame, n: int) -> DataFrame:
         return up.join(low.drop("degree"), "a")
     hot = F.broadcast(hot.withColumn("hot", F.lit(True)))
     up = up.join(hot, "a", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("b"), F.lit(SALTS))).otherwise(F.lit(0)))
-    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    low = low.join(hot, "a", "left").select("a", "m", F.explode(salts).cast("long").alias("salt"))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<long>")
+    low = low.join(hot, "a", "left").select("a", "m", F.explode(salts).alias("salt"))
     return up.drop("hot").join(low, ["a", "salt"]).drop("salt")
 
 
