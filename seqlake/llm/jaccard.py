@@ -135,8 +135,8 @@ def _longs(arrays: list) -> pa.Array:
 def _often(documents: DataFrame, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of at least FREQUENT sets, sorted, and of how many; MOST_FREQUENT at most.
 
-    Without ``known`` only those in prefixes by hash order count; with it, those
-    in twice as long a prefix of the others, of sets with a known shingle in that prefix.
+    Without ``known`` only those in prefixes by hash order count; with it, all
+    others beyond that prefix, of sets with a known shingle in it.
     """
     shared = documents.sparkSession.sparkContext.broadcast(known)  # bounded by MOST_FREQUENT
 
@@ -153,7 +153,7 @@ def _often(documents: DataFrame, known: np.ndarray | None) -> tuple[np.ndarray,
                 if known is None:
                     out.append(s[:p])
                 elif (there := _among(known, s)[1])[:p].any():
-                    out.append(s[~there][: 2 * p])  # as many as may become frequent themselves
+                    out.append(s[p:][~there[p:]])  # those before were counted
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["g"])
 
@@ -178,11 +178,9 @@ def _frequent(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The frequent shingles, sorted, and how many sets they are in.
 
     Two counts over all documents: of prefixes, and, of the sets whose prefix
-    holds a shingle frequent by the first, of the prefixes that are left without
-    these, twice as long. Any other shingle is then in fewer than FREQUENT prefixes
-    of sets without a frequent one, and of sets with one, unless these lose more
-    than a prefix of shingles by the second count: blocks stay small, however
-    alike the sets are. What is not counted costs time, never links.
+    holds a shingle frequent by the first, of all beyond the prefix. Any other
+    shingle is then in fewer than FREQUENT first prefixes and in fewer than FREQUENT
+    sets that may have it in a later one: blocks stay small, however alike the sets are.
     """
     first = _often(documents, None)
     if not len(first[0]):
