@@ -49,6 +49,9 @@ NODES_BROADCAST = 1_000_000  # sets to verify whose keys may be broadcast: 8 MB
 LEADERS = 3
 TILE = 512
 PAIRS_HELD = 300_000  # pairs that a task holds before it sums them up
+#: Shingles are counted by the upper 48 bits of their hash, which take a sixth less room in the shuffle. Those that share them are
+#: frequent together: that changes the way by which their sets are compared, not what links.
+SHORT = np.uint64(16)
 
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -133,7 +136,7 @@ def _longs(arrays: list) -> pa.Array:
 
 
 def _often(documents: DataFrame, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of at least FREQUENT sets, sorted, and of how many; MOST_FREQUENT at most.
+    """Shingles of at least FREQUENT sets, shortened and sorted, and of how many; MOST_FREQUENT at most.
 
     Without ``known`` only those in prefixes by hash order count; with it, all
     others beyond that prefix, of sets with a known shingle in it.
@@ -155,7 +158,7 @@ def _often(documents: DataFrame, known: np.ndarray | None) -> tuple[np.ndarray,
                 elif (there := _among(known, s)[1])[:p].any():
                     out.append(s[p:][~there[p:]])  # those before were counted
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["g"])
+                yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(out) >> SHORT).view(np.int64))], ["g"])
 
     found = (
         documents.select("text").mapInArrow(run, "g long").groupBy("g").count().where(F.col("count") >= FREQUENT)
@@ -167,7 +170,8 @@ def _often(documents: DataFrame, known: np.ndarray | None) -> tuple[np.ndarray,
 
 
 def _among(known: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where in ``known``, sorted, each of ``s`` would be, and whether it is there."""
+    """Where in ``known``, shortened and sorted, each of ``s`` would be, and whether it is there."""
+    s = s >> SHORT
     if not len(known):
         return np.zeros(len(s), np.int64), np.zeros(len(s), bool)
     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
@@ -175,7 +179,7 @@ def _among(known: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _frequent(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent shingles, sorted, and how many sets they are in.
+    """The frequent shingles, shortened and sorted, and how many sets they are in.
 
     Two counts over all documents: of prefixes, and, of the sets whose prefix
     holds a shingle frequent by the first, of all beyond the prefix. Any other
