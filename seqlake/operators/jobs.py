@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import percent, to_display_id
+from ..sources.scratch import written
 
 SUFFIX = "_samtools.tar.gz"
 
@@ -46,7 +47,8 @@ def register_ids(keys: DataFrame, registry: DataFrame, prefix: str) -> DataFrame
     """(key, id): known keys keep theirs, new ones get prefix.N in key order, N going on from the largest. One writer at a time.
 
     New keys are numbered without one task for all: by ranges, whose sizes are
-    summed up first.
+    summed up. The numbered ranges are a written table, since both the sizes and
+    the rows must come from the same ranges.
     """
     known = registry.join(keys.select("key").distinct(), "key", "left_semi").select("key", "id")
     new = keys.select("key").where("key is not null").distinct().join(registry.select("key"), "key", "left_anti")
@@ -54,6 +56,7 @@ def register_ids(keys: DataFrame, registry: DataFrame, prefix: str) -> DataFrame
     top = registry.agg(F.coalesce(F.max(F.substring_index("id", ".", -1).cast("bigint")), F.lit(0)).alias("top"))
     part = F.spark_partition_id()
     numbered = new.withColumn("p", part).withColumn("i", F.row_number().over(Window.partitionBy("p").orderBy("key")))
+    numbered = written(numbered, "numbered")
     sizes = numbered.groupBy("p").agg(F.max("i").alias("size"))
     before = F.coalesce(F.sum("size").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("p", before.alias("before"))  # a row for each partition

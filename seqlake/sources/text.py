@@ -125,7 +125,7 @@ def manifest_load(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     paths = [r["src"] for r in manifest.select("src").collect()]  # a manifest lists files, not data
     lines = spark.read.text(paths).select("value", _plain_path(F.col("_metadata.file_path")).alias("file"))
     keyed = lines.select("value", F.explode(F.array("file", F.regexp_replace("file", "/[^/]*$", ""))).alias("src"))
-    return keyed.join(F.broadcast(manifest.select(_plain_path(F.col("src")).alias("src"), "dest")), "src").select("dest", "value")
+    return keyed.join(manifest.select(_plain_path(F.col("src")).alias("src"), "dest"), "src").select("dest", "value")
 
 
 def gtf_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -201,3 +201,21 @@ def dataset_inventory(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, modification_time) of the files below a path; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(_plain_path(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modification_time"))
+
+
+def dataset_listing(spark: SparkSession, path: str) -> DataFrame:
+    """What lies directly in a folder, files and folders, with all fields of a file's status.
+
+    (is_dir, path, owner, group, permission, replication, modification_time,
+    block_size, length). One folder's listing is one call of the file system,
+    which Spark has no table for; use :func:`dataset_inventory` for whole trees.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    rows = [
+        (s.isDirectory(), s.getPath().toString(), s.getOwner(), s.getGroup(), s.getPermission().toString(), s.getReplication(), s.getModificationTime(), s.getBlockSize(), s.getLen())
+        for s in found
+    ]
+    schema = "is_dir boolean, path string, owner string, `group` string, permission string, replication int, millis long, block_size long, length long"
+    listed = spark.createDataFrame(rows, schema)
+    return listed.select("is_dir", _plain_path(F.col("path")).alias("path"), "owner", "group", "permission", "replication", F.timestamp_millis("millis").alias("modification_time"), "block_size", "length")

@@ -30,9 +30,20 @@ def job_status_stream(events: DataFrame, lateness: str = "60 days") -> DataFrame
 
 
 def run_to_table(status: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there; each batch replaces the snapshot at ``path``."""
+    """Process what is there; each batch adds the jobs that changed, in a folder of its own.
+
+    A batch that is run again replaces its own folder and no other, so readers
+    never meet a table that is half replaced.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return status.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
 
-    def save(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
 
-    return status.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
+def read_status(spark: SparkSession, path: str) -> DataFrame:
+    """The state of each job in the last batch that changed it."""
+    rows = spark.read.parquet(path)
+    columns = [c for c in rows.columns if c not in ("job_id", "batch")]
+    return rows.groupBy("job_id").agg(F.max_by(F.struct(*columns), "batch").alias("s")).select("job_id", "s.*")
