@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -14,6 +12,7 @@ from ..functions import scalars
 from ..operators import align, apply, intervals, jobs, recal, rnaseq, variants
 from ..plans import pipelines
 from ..sources import text
+from ..sources.scratch import scratch, written
 from ..streaming import jobs as stream
 from .tables import frame, sql
 
@@ -34,16 +33,6 @@ def query(oracle: str) -> Callable[[Query], Query]:
     return add
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder that all executors see: under spark.checkpoint.dir, or local where all of Spark runs on this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="seqlake-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def _reads(spark: SparkSession, d: str) -> DataFrame:
     return frame(spark, d, "reads")
 
@@ -56,12 +45,6 @@ def _aligned(spark: SparkSession, d: str) -> DataFrame:
     return align.align_reads(_reads(spark, d), _tiles(spark, d))
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _records(spark: SparkSession, d: str, mate: int, drop: int) -> DataFrame:
     """FASTQ records of one mate, without every drop-th."""
     rows = frame(spark, d, "placed_reads").where((F.col("mate") == mate) & (F.col("o") % drop != 1))
@@ -182,6 +165,14 @@ def dataset_inventory(spark: SparkSession, d: str) -> DataFrame:
     return files.groupBy(F.regexp_extract("path", r"src=(\d+)/", 1).alias("folder")).agg(F.sum("length").alias("bytes"))
 
 
+@query("SELECT 'src='||CAST(src AS STRING) AS name, true AS is_dir, true AS complete FROM source_lines GROUP BY src")
+def dataset_listing(spark: SparkSession, d: str) -> DataFrame:
+    path, _ = _source_folders(spark, d)
+    found = text.dataset_listing(spark, path).where("is_dir")
+    fields = [F.col(c).isNotNull() for c in ("owner", "group", "permission", "replication", "modification_time", "block_size", "length")]
+    return found.select(scalars.base_name(F.col("path")).alias("name"), "is_dir", F.array_min(F.array(*fields)).alias("complete"))
+
+
 # Projections and filters
 
 
@@ -248,18 +239,21 @@ def align_reads(spark: SparkSession, d: str) -> DataFrame:
         row_number() OVER (PARTITION BY a.name ORDER BY a.nm + b.nm, a.contig, a.pos, b.pos, a.rev) AS first
       FROM places a JOIN places b ON a.name = b.name AND a.contig = b.contig AND a.rev <> b.rev AND abs(b.pos - a.pos) <= 500 WHERE a.mate = 1 AND b.mate = 2) WHERE first = 1)"""))
 def pair_alignments(spark: SparkSession, d: str) -> DataFrame:
-    hits = _written(align.candidates(_reads(spark, d), _tiles(spark, d)), "hits")
+    hits = written(align.candidates(_reads(spark, d), _tiles(spark, d)), "hits")
     return align.pair_alignments(hits)
 
 
-@query("""SELECT contig, donor, acceptor, strand, count(DISTINCT name) AS support FROM (
+JUNCTIONS = """SELECT contig, donor, acceptor, strand, count(DISTINCT name) AS support FROM (
     SELECT name, contig, l + s AS donor, r + 16 - n + s + 1 AS acceptor, strand, nm, row_number() OVER (PARTITION BY name, strand, contig, l, r ORDER BY nm, s) AS first FROM (
       SELECT x.name, x.contig, x.l, x.r, x.n, x.strand, s,
         CAST(len(list_filter(range(1, n+1), lambda i: substr(x.s1, i, 1) <> CASE WHEN i <= s THEN substr(c.seq, l+i, 1) ELSE substr(c.seq, r+16-n+i, 1) END)) AS INT) AS nm
       FROM (SELECT q.name, q.s1, q.strand, a.contig, a.pos0 AS l, b.pos0 AS r, length(q.s1) AS n, unnest(range(16, length(q.s1)-15)) AS s FROM (
           SELECT name, seq AS s1, '+' AS strand FROM spliced_reads UNION ALL SELECT name, reverse(translate(seq,'ACGT','TGCA')), '-' FROM spliced_reads) q
         JOIN kmers a ON a.kmer = substr(q.s1, 1, 16) JOIN kmers b ON b.kmer = substr(q.s1, length(q.s1)-15, 16) AND b.contig = a.contig
-        WHERE b.pos0 - a.pos0 - (length(q.s1) - 16) BETWEEN 20 AND 20000) x JOIN contigs c ON c.contig = x.contig)) WHERE first = 1 AND nm <= 4 GROUP BY ALL""")
+        WHERE b.pos0 - a.pos0 - (length(q.s1) - 16) BETWEEN 20 AND 20000) x JOIN contigs c ON c.contig = x.contig)) WHERE first = 1 AND nm <= 4 GROUP BY ALL"""
+
+
+@query(JUNCTIONS)
 def splice_junctions(spark: SparkSession, d: str) -> DataFrame:
     return align.splice_junctions(frame(spark, d, "spliced_reads"), _tiles(spark, d))
 
@@ -292,7 +286,7 @@ NEW_QUALS = """SELECT name, mate, string_agg(chr(33 + coalesce(CAST(least(40, gr
 
 @query(f"SELECT a.name, a.mate, a.contig, a.pos, q.qual FROM aligned a JOIN ({NEW_QUALS}) q ON a.name = q.name AND a.mate = q.mate")
 def recalibrate(spark: SparkSession, d: str) -> DataFrame:
-    hits = _written(_aligned(spark, d), "aligned")
+    hits = written(_aligned(spark, d), "aligned")
     table = recal.count_covariates(hits, _tiles(spark, d), frame(spark, d, "known_sites"))
     return recal.recalibrate(hits, table).select("name", "mate", "contig", "pos", "qual")
 
@@ -333,7 +327,7 @@ def count_covariates(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT reported_q, cycle, context, n_obs, n_mismatch FROM covariates")
 def merge_covariates(spark: SparkSession, d: str) -> DataFrame:
-    hits = _written(_aligned(spark, d), "aligned")
+    hits = written(_aligned(spark, d), "aligned")
     return recal.merge_covariates(*(recal.count_covariates(hits.where(F.col("mate") == m), _tiles(spark, d), frame(spark, d, "known_sites")) for m in (1, 2)))
 
 
@@ -491,7 +485,7 @@ def job_status_stream(spark: SparkSession, d: str) -> DataFrame:
     source, out, state = (scratch(spark, x) for x in ("events", "status", "state"))
     frame(spark, d, "job_events").repartition(4).write.parquet(source)
     stream.run_to_table(stream.job_status_stream(stream.read_events(spark, source)), out, state).awaitTermination()
-    return spark.read.parquet(out)
+    return stream.read_status(spark, out)
 
 
 def _neighbours(rows: pd.DataFrame) -> pd.DataFrame:
@@ -525,10 +519,27 @@ def snp_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual, gt FROM recalled LEFT JOIN ranks k USING (contig)")
 def recalibrated_calls(spark: SparkSession, d: str) -> DataFrame:
-    hits = _written(_aligned(spark, d), "aligned")
+    hits = written(_aligned(spark, d), "aligned")
     return pipelines.recalibrated_calls(hits, _tiles(spark, d), frame(spark, d, "contig_lens"), BIN).drop("shard")
 
 
+@query("SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual, gt FROM firm_recalled LEFT JOIN ranks k USING (contig)")
+def recalibrated_calls_of_two_qualities(spark: SparkSession, d: str) -> DataFrame:
+    two = F.translate("qual", "56789:;<=>?@ABCD", "55555555????????")
+    hits = written(_aligned(spark, d).withColumn("qual", two), "aligned")
+    return pipelines.recalibrated_calls(hits, _tiles(spark, d), frame(spark, d, "contig_lens"), BIN).drop("shard")
+
+
+@query(f"""SELECT l.locus, l.contig, l.strand, l.start, l."end" AS stop, l.n_transcripts, coalesce(n.n, 0) AS n_junctions, q.log2fc, q.p, q.q,
+      coalesce(split_part('=,c,j,o,i,x', ',', c.code+1), 'u') AS class_code, c.ref_transcript_id
+    FROM loci l LEFT JOIN locus_qvalues q ON q.gene_id = l.locus LEFT JOIN locus_classes c ON c.locus = l.locus
+    LEFT JOIN (SELECT x.locus, count(*) AS n FROM loci x JOIN ({JUNCTIONS}) j ON j.contig = x.contig AND j.strand = x.strand AND j.donor < x."end" AND j.acceptor > x.start GROUP BY x.locus) n ON n.locus = l.locus""")
+def rnaseq_from_reads(spark: SparkSession, d: str) -> DataFrame:
+    conditions = {"1": "T1", "2": "T1", "3": "T2", "4": "T2", "5": "T2"}
+    loci = pipelines.rnaseq_from_reads(frame(spark, d, "spliced_reads"), _tiles(spark, d), frame(spark, d, "rna_hits"), frame(spark, d, "ref_exons"), conditions)
+    return loci.withColumnRenamed("end", "stop")
+
+
 @query("""SELECT q.gene_id, log2fc, p, q, n_transcripts, n_matched FROM fpkm_qvalues q JOIN (
     SELECT gene_id, count(*) AS n_transcripts, count(*) FILTER (WHERE class_code IN ('=','c','j')) AS n_matched
     FROM classes JOIN (SELECT DISTINCT transcript_id, gene_id FROM query_exons) g USING (transcript_id) GROUP BY gene_id) c ON c.gene_id = q.gene_id""")

@@ -164,6 +164,35 @@ TABLES["fpkm_amounts"] = ("", """SELECT gene_id, CASE sample WHEN '1' THEN 'T1'
 TABLES["fpkm_tests"] = ("", TABLES["tests"][1].replace("test_amounts", "fpkm_amounts"))
 TABLES["fpkm_qvalues"] = ("", TABLES["qvalues"][1].replace("FROM tests", "FROM fpkm_tests"))
 
+# the first calls, covariates and second calls of reads with two reported qualities, of which one is too low for the first calls
+TABLES["firm_aligned"] = ("", "SELECT * REPLACE (translate(qual, '56789:;<=>?@ABCD', '55555555????????') AS qual) FROM aligned")
+FIRM = ("bases", "piles", "calls", "read_bases", "called_covariates", "recalled_piles", "recalled")
+for _t in FIRM:
+    TABLES[f"firm_{_t}"] = ("", re.sub(rf"\b(FROM|JOIN) (aligned|{'|'.join(FIRM)})\b", r"\1 firm_\2", TABLES[_t][1]))
+
+# blocks of each sample and strand, loci of all samples, and what is said of the loci
+TABLES["sample_blocks"] = ("", """SELECT sample, contig, strand, island, min(start) AS start, max("end") AS "end" FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY sample, contig, strand ORDER BY start, "end", name ROWS UNBOUNDED PRECEDING) AS island FROM (
+      SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY sample, contig, strand ORDER BY start, "end", name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 50 THEN 0 ELSE 1 END AS fresh
+      FROM rna_hits)) GROUP BY ALL""")
+TABLES["loci"] = ("", """SELECT contig||'.'||strand||'.'||CAST(island AS STRING) AS locus, contig, strand, min(start) AS start, max("end") AS "end", count(*) AS n_transcripts FROM (
+    SELECT contig, strand, sample, start, "end", sum(fresh) OVER (PARTITION BY contig, strand ORDER BY start, "end", sample ROWS UNBOUNDED PRECEDING) AS island FROM (
+      SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY contig, strand ORDER BY start, "end", sample ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+      FROM sample_blocks)) GROUP BY contig, strand, island""")
+TABLES["locus_amounts"] = ("", """SELECT l.locus AS gene_id, CASE WHEN t.sample IN ('1', '2') THEN 'T1' ELSE 'T2' END AS condition,
+      CAST((CAST(coalesce(n_frag, 0) AS HUGEINT) * 1000000000000) // (CAST(l."end" - l.start + 1 AS HUGEINT) * total) AS BIGINT) AS amount
+    FROM loci l CROSS JOIN (SELECT sample, count(DISTINCT name) AS total FROM rna_hits GROUP BY ALL) t
+    LEFT JOIN (SELECT h.sample, x.locus, count(DISTINCT h.name) AS n_frag FROM loci x JOIN rna_hits h
+      ON h.contig = x.contig AND h.strand = x.strand AND h.start <= x."end" AND h."end" >= x.start GROUP BY ALL) f ON f.sample = t.sample AND f.locus = l.locus""")
+TABLES["locus_tests"] = ("", TABLES["tests"][1].replace("test_amounts", "locus_amounts"))
+TABLES["locus_qvalues"] = ("", TABLES["qvalues"][1].replace("FROM tests", "FROM locus_tests"))
+TABLES["locus_classes"] = ("", """SELECT locus, code, ref_transcript_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY locus ORDER BY code, ref_transcript_id) AS first FROM (
+      SELECT x.locus, CASE WHEN x.strand = y.strand THEN 3 ELSE 5 END AS code, y.transcript_id AS ref_transcript_id
+      FROM loci x JOIN ref_exons y ON x.contig = y.contig AND x.start <= y."end" AND x."end" >= y.start
+      UNION ALL SELECT s.locus, 4, j.transcript_id FROM loci s JOIN junctions j ON j.contig = s.contig AND s.start > j.donor AND s."end" < j.acceptor
+      WHERE j.transcript_id IN (SELECT transcript_id FROM ref_exons))) WHERE first = 1""")
+
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table of ``sf_dir``."""

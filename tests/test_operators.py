@@ -1,5 +1,6 @@
 """Truth, invariance, formats and plans of the sequencing operators."""
 
+import datetime
 import os
 import random
 
@@ -12,6 +13,7 @@ from seqlake.operators import align, intervals, jobs, rnaseq, variants
 from seqlake.plans import pipelines
 from seqlake.registry.tables import frame
 from seqlake.sources import text
+from seqlake.streaming import jobs as stream
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
@@ -194,3 +196,36 @@ def test_genotypes_stay_with_the_best_shard(spark):
     assert {r["pos"]: (r["qual"], r["gt"]) for r in merged.collect()} == {5: (30, "0/1"), 9: (30, None)}
     ends = sorted(r["value"].rsplit("\t", 1)[1] for r in text.vcf_lines(merged, ranks).where("rank > 0").collect())
     assert ends == ["./.", "0/1"]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 100_000])
+def test_islands_do_not_depend_on_bins(spark, size):
+    rng = random.Random(size)
+    rows = [("s", "c", f"h{i}", p := rng.randrange(2000), p + rng.choice([0, 3, 9, 120])) for i in range(150)]
+    hits = spark.createDataFrame(rows, "sample string, contig string, name string, start long, end long")
+    got = [(r.island, r.start, r.end, r.n) for r in rnaseq.assemble_islands(hits, 5, size=size).orderBy("island").collect()]
+    want = []
+    for *_, start, end in sorted(rows, key=lambda r: r[3:]):
+        if want and start <= want[-1][1] + 5:
+            want[-1] = (want[-1][0], max(want[-1][1], end), want[-1][2] + 1)
+        else:
+            want.append((start, end, 1))
+    assert got == [(i + 1, *w) for i, w in enumerate(want)]
+
+
+def test_a_listing_has_files_and_folders(spark, tmp_path):
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "file.txt").write_text("abc")
+    rows = {r.path.rsplit("/", 1)[1]: r for r in text.dataset_listing(spark, f"file://{tmp_path}").collect()}
+    assert rows["folder"].is_dir and not rows["file.txt"].is_dir
+    assert rows["file.txt"].length == 3 and rows["file.txt"].permission.startswith("rw") and rows["file.txt"].owner
+
+
+def test_job_states_of_later_batches_replace_earlier_ones(spark, tmp_path):
+    source, out, state = (f"file://{tmp_path}/{x}" for x in ("events", "out", "state"))
+    columns = "event_id long, job_id string, username string, running_state int, map_progress double, ts timestamp_ntz"
+    for rows in ([(1, "a", 1), (2, "b", 1)], [(3, "a", 2)]):
+        events = [(i, job, "u", s, 0.5, datetime.datetime(2024, 1, 1, 0, i)) for i, job, s in rows]
+        spark.createDataFrame(events, columns).write.mode("append").parquet(source)
+        stream.run_to_table(stream.job_status_stream(stream.read_events(spark, source)), out, state).awaitTermination()
+    assert {(r.job_id, r.running_state, r.event_id) for r in stream.read_status(spark, out).collect()} == {("a", 2, 3), ("b", 1, 2)}
