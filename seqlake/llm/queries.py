@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, html, jaccard, licenses, lines, media, quality, secrets, toxicity
+from . import audit, bpe, decontamination, html, jaccard, licenses, lines, media, quality, secrets, toxicity
 from .common import shared_dir, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.Ledger(spark))
 
 
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,6 +74,7 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_media_columns,
         op10_secret_scans,
+        op13_filter_interaction_audit,
     )
 }
 
@@ -140,3 +145,31 @@ reached AS (SELECT r AS x, r AS y FROM classes UNION SELECT x, b FROM reached JO
 roots AS (SELECT x, min(least) AS component_id FROM reached JOIN classes ON classes.r = y GROUP BY x)
 SELECT doc_id, coalesce(s.n, 0) AS n_shingles, CASE WHEN s.n IS NULL THEN doc_id ELSE component_id END AS component_id
 FROM docs LEFT JOIN sets s USING (r) LEFT JOIN classes USING (f) LEFT JOIN roots ON roots.x = classes.r"""
+
+
+# the first failing filter of each mask in each order
+ORACLES["op13_filter_interaction_audit"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+least AS (SELECT t, min(doc_id) AS m FROM docs GROUP BY t),
+marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+failed AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END ||
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END ||
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > m THEN 'E' ELSE '' END AS fails
+  FROM docs JOIN least USING (t) LEFT JOIN marks USING (doc_id)),
+masks AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM failed GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE b.f <> a.f AND c.f NOT IN (a.f, b.f) AND d.f NOT IN (a.f, b.f, c.f) AND e.f NOT IN (a.f, b.f, c.f, d.f)),
+steps AS (SELECT o, s, substr(o, s, 1) AS f FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS s)),
+met AS (SELECT part, o, fails, n, good, toxic, list_min(list_transform(string_split(fails, ''), x -> instr(o, x))) AS hit
+    FROM masks, orders WHERE fails <> '' UNION ALL SELECT part, o, fails, n, good, toxic, 6 FROM masks, orders WHERE fails = ''),
+counted AS (SELECT part, o, s, f,
+    sum(CASE WHEN hit > s THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit = s THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit < s AND contains(fails, f) THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit = s THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN hit = s THEN toxic ELSE 0 END) AS toxic_lost
+  FROM met JOIN steps USING (o) GROUP BY ALL)
+SELECT part, o AS filter_order, s AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+    CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted"""

@@ -512,7 +512,7 @@ def test_same_rows_as_sql(spark, name):
     if not os.path.isdir(data):
         pytest.skip("needs the given tables")
     c = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         c.sql(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
     want = c.sql(queries.ORACLES[name])
     got = queries.QUERIES[name](spark, data).select(*want.columns)
