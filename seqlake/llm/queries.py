@@ -162,7 +162,7 @@ letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
 orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
     WHERE b.f <> a.f AND c.f NOT IN (a.f, b.f) AND d.f NOT IN (a.f, b.f, c.f) AND e.f NOT IN (a.f, b.f, c.f, d.f)),
 steps AS (SELECT o, s, substr(o, s, 1) AS f FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS s)),
-met AS (SELECT part, o, fails, n, good, toxic, list_min(list_transform(string_split(fails, ''), x -> instr(o, x))) AS hit
+met AS (SELECT part, o, fails, n, good, toxic, list_min(list_transform(string_split(fails, ''), lambda x: instr(o, x))) AS hit
     FROM masks, orders WHERE fails <> '' UNION ALL SELECT part, o, fails, n, good, toxic, 6 FROM masks, orders WHERE fails = ''),
 counted AS (SELECT part, o, s, f,
     sum(CASE WHEN hit > s THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit = s THEN n ELSE 0 END) AS removed,
