@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit, bpe, decontamination, html, jaccard, licenses, lines, media, quality, secrets, toxicity
+from . import audit, bpe, decontamination, html, jaccard, licenses, lines, media, packing, quality, secrets, toxicity
 from .common import shared_dir, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WINDOW_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.Ledger(spark))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"), public_tokenizers.path(WINDOW_VOCABULARY), public_tokenizers.PATTERN)
+
+
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,6 +79,7 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_media_columns,
         op10_secret_scans,
+        op12_packing,
         op13_filter_interaction_audit,
     )
 }
