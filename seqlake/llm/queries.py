@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import audit, bpe, decontamination, html, jaccard, licenses, lines, media, packing, quality, secrets, toxicity
+from . import audit, bpe, decontamination, html, jaccard, licenses, lines, media, negatives, packing, quality, secrets, toxicity
 from .common import shared_dir, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -58,6 +59,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.Ledger(spark))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(table(spark, sf_dir, "documents"), public_tokenizers.path(WINDOW_VOCABULARY), public_tokenizers.PATTERN)
 
@@ -79,6 +85,7 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_media_columns,
         op10_secret_scans,
+        op11_hard_negatives,
         op12_packing,
         op13_filter_interaction_audit,
     )
@@ -179,3 +186,14 @@ SELECT part, o AS filter_order, s AS step, CAST(kept AS BIGINT) AS kept, CAST(re
     CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
     CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
 FROM counted"""
+
+ORACLES["op11_hard_negatives"] = """
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INT) AS rank
+    FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5"""
