@@ -1,7 +1,10 @@
 """Ungapped seed-vote alignment of short reads, pairing, and spliced junctions.
 
-The reference comes as tiles of equal length, so no row holds a whole contig;
-k-mers and windows that cross tiles come from an equi-join with the next tiles.
+The reference comes as tiles of equal length, so no row holds a whole contig. A
+place of a read is verified tile by tile: a row for each tile that it touches,
+joined with the tile's bases, so nothing here depends on the longest read, and
+no job starts while a plan is built. Seeds and places travel without sequences;
+these are joined again to the places that stay.
 """
 
 from __future__ import annotations
@@ -13,75 +16,137 @@ from ..functions.scalars import mismatches, packed, reverse_complement
 
 K = 16
 OFFSETS = (0, 12, 24)
-JOINED = 4  # following tiles that are joined one by one; more are gathered in one aggregation
+TILE = 32
+READ = ("name", "mate")
 
 
-def longest(reads: DataFrame) -> int:
-    """Bases of the longest read; reads ``reads`` once."""
-    return reads.agg(F.max(F.length("seq"))).first()[0] or 0
-
-
-def windows(tiles: DataFrame, extra: int, tile_len: int = 32) -> DataFrame:
-    """(contig, tile, start0, seq, window): each tile with at least ``extra`` following bases."""
-    after = -(-extra // tile_len)
-    if after > JOINED:
-        tile = F.struct("tile", "start0", "seq")
-        rows = tiles.select("contig", F.explode(F.sequence(F.col("tile") - after, "tile")).alias("at"), tile.alias("t"))
-        parts = rows.groupBy("contig", "at").agg(F.array_sort(F.collect_list("t")).alias("parts")).where(F.col("parts")[0]["tile"] == F.col("at"))
-        first = F.col("parts")[0]
-        return parts.select("contig", first["tile"].alias("tile"), first["start0"].alias("start0"), first["seq"].alias("seq"), F.array_join(F.col("parts.seq"), "").alias("window"))
+def windows(tiles: DataFrame, extra: int, tile_len: int = TILE) -> DataFrame:
+    """(contig, tile, start0, seq, window): each tile with ``extra`` following bases or more."""
     out = tiles.select("contig", "tile", "start0", "seq", F.col("seq").alias("window"))
-    for i in range(1, after + 1):
+    for i in range(1, -(-extra // tile_len) + 1):
         after = tiles.select("contig", (F.col("tile") - i).alias("tile"), F.col("seq").alias("more"))
         out = out.join(after, ["contig", "tile"], "left").withColumn("window", F.concat("window", F.coalesce("more", F.lit("")))).drop("more")
     return out
 
 
-def reference_kmers(tiles: DataFrame, k: int = K, max_occ: int = 200, tile_len: int = 32) -> DataFrame:
-    """(kmer, contig, pos0) of every reference position; k-mers with more than ``max_occ`` places are left out."""
-    w = windows(tiles, k - 1, tile_len)
-    at = F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("i")
-    rows = w.select("contig", "start0", "window", at)
-    rows = rows.select(F.expr(f"substr(window, i + 1, {k})").alias("kmer"), "contig", (F.col("start0") + F.col("i")).alias("pos0")).where(F.length("kmer") == k)
+def _least_kmer(text: Column, first: Column, k: int, window: int) -> Column:
+    """(h, i): the least hash among the ``window`` k-mers of ``text`` from ``first`` on, the leftmost if equal."""
+    each = [F.struct(F.xxhash64(F.substr(text, first + (j + 1), F.lit(k))).alias("h"), (first + j).alias("i")) for j in range(window)]
+    return each[0] if window == 1 else F.least(*each)
+
+
+def minimizers(tiles: DataFrame, k: int = K, window: int = 1, tile_len: int = TILE) -> DataFrame:
+    """(kmer, contig, pos0): the k-mer of least hash in every ``window`` consecutive ones, each place once.
+
+    With a window of one these are the k-mers of every position. ``kmer`` is a 64-bit hash:
+    what collides is sorted out by verification.
+    """
+    w = windows(tiles, k + window - 2, tile_len)
+    starts = w.select("contig", "start0", "window", F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("i"))
+    starts = starts.where(F.length("window") >= F.col("i") + (k + window - 1))
+    found = starts.select("contig", "start0", _least_kmer(F.col("window"), F.col("i"), k, window).alias("m"))
+    rows = found.select(F.col("m.h").alias("kmer"), "contig", (F.col("start0") + F.col("m.i")).alias("pos0"))
+    return rows if window == 1 else rows.distinct()  # neighbouring windows share theirs
+
+
+def reference_kmers(tiles: DataFrame, k: int = K, max_occ: int | None = 200, tile_len: int = TILE, window: int = 1) -> DataFrame:
+    """:func:`minimizers` without k-mers that have more than ``max_occ`` places; None leaves none out."""
+    rows = minimizers(tiles, k, window, tile_len)
+    if max_occ is None:
+        return rows
     often = rows.groupBy("kmer").count().where(F.col("count") > max_occ)
     return rows.join(often, "kmer", "left_anti")
 
 
-def _oriented(reads: DataFrame) -> DataFrame:
+def save_index(tiles: DataFrame, table: str, path: str, buckets: int, k: int = K, max_occ: int | None = 200, tile_len: int = TILE, window: int = 1) -> None:
+    """Keep :func:`reference_kmers` as a table at ``path``, bucketed and sorted by k-mer; an existing one is an error.
+
+    Alignments that are given ``spark.table(table)`` as their index read it
+    bucket by bucket: only their seeds are shuffled. Take about a bucket for
+    each 128 MB, and as many as there are shuffle partitions at most.
+    """
+    rows = reference_kmers(tiles, k, max_occ, tile_len, window).repartition(buckets, "kmer")
+    rows.write.bucketBy(buckets, "kmer").sortBy("kmer").option("path", path).mode("errorifexists").saveAsTable(table)
+
+
+def _oriented(reads: DataFrame, *keys: str) -> DataFrame:
     """Both orientations of each read: rev and the sequence as it would lie on the reference."""
     strands = F.explode(F.array(F.struct(F.lit(False).alias("rev"), F.col("seq").alias("s")), F.struct(F.lit(True).alias("rev"), reverse_complement(F.col("seq")).alias("s"))))
-    return reads.select("name", "mate", "qual", strands.alias("o")).select("name", "mate", "qual", "o.rev", F.col("o.s").alias("seq"))
+    return reads.select(*keys, strands.alias("o")).select(*keys, "o.rev", F.col("o.s").alias("seq"))
+
+
+def seeds(reads: DataFrame, k: int = K, offsets: tuple[int, ...] = OFFSETS) -> DataFrame:
+    """(name, mate, rev, kmer, o): the k-mers at fixed offsets of both orientations."""
+    at = F.explode(F.array(*map(F.lit, offsets)))
+    rows = _oriented(reads, *READ).select(*READ, "rev", "seq", at.alias("o")).where(F.length("seq") >= F.col("o") + k)
+    return rows.select(*READ, "rev", F.xxhash64(F.substr("seq", F.col("o") + 1, F.lit(k))).alias("kmer"), "o")
 
 
-def at_reference(df: DataFrame, tiles: DataFrame, start: Column, length: Column, name: str = "ref", tile_len: int = 32, most: int | None = None) -> DataFrame:
-    """``df`` plus the reference bases from 0-based ``start``; rows that leave the contig go.
+def part_seeds(reads: DataFrame, max_nm: int = 4, k: int = 8, window: int = 1) -> DataFrame:
+    """(name, mate, rev, kmer, o): a minimizer of each of ``max_nm + 1`` disjoint parts of each orientation.
 
-    ``most`` is the largest ``length``; without it, it is computed from ``df``.
+    A place of at most ``max_nm`` mismatches matches one part exactly, wherever
+    they are. So such a place is always met by an index of the same k and
+    window without ``max_occ``, if parts hold ``k + window - 1`` bases. Reads
+    whose parts are shorter have no seeds here: give them an index of shorter k-mers.
     """
-    if most is None:
-        most = df.agg(F.max(length)).first()[0] or 0
-    w = windows(tiles, most, tile_len).select(F.col("contig").alias("_c"), F.col("tile").alias("_t"), "window")
-    out = df.withColumn("_s", start).withColumn("_n", length).where("_s >= 0")
-    out = out.join(w, (F.col("contig") == F.col("_c")) & (F.floor(F.col("_s") / tile_len) == F.col("_t")))
-    out = out.withColumn(name, F.expr(f"substr(window, cast(_s % {tile_len} as int) + 1, _n)"))
-    return out.where(F.length(name) == F.col("_n")).drop("_c", "_t", "window", "_s", "_n")
-
-
-def candidates(reads: DataFrame, tiles: DataFrame, k: int = K, offsets: tuple[int, ...] = OFFSETS, max_nm: int = 4, max_occ: int = 200, tile_len: int = 32) -> DataFrame:
-    """(name, mate, rev, contig, pos, seq, qual, nm): every place that a seed votes for with at most ``max_nm`` mismatches."""
-    most = longest(reads)
-    both = _oriented(reads)
-    seeds = both.select("*", F.explode(F.array(*(F.struct(F.lit(o).alias("o"), F.substring("seq", o + 1, k).alias("kmer")) for o in offsets))).alias("seed"))
-    seeds = seeds.select("name", "mate", "rev", "seq", "qual", "seed.o", "seed.kmer").where(F.length("kmer") == k)
-    hits = seeds.join(reference_kmers(tiles, k, max_occ, tile_len), "kmer")
-    # reads are dealt by name once; duplicates, pairing and the best hit stay there
-    places = hits.select("name", "mate", "rev", "contig", (F.col("pos0") - F.col("o")).alias("start0"), "seq", "qual")
-    places = places.repartition("name").dropDuplicates(["name", "mate", "rev", "contig", "start0"])
-    placed = at_reference(places, tiles, F.col("start0"), F.length("seq"), tile_len=tile_len, most=most)
-    nm = mismatches(packed(F.col("seq"), most), packed(F.col("ref"), most))
+    part = F.floor(F.length("seq") / (max_nm + 1)).cast("int")
+    starts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(max_nm)), lambda i: i * F.col("part")))
+    rows = _oriented(reads, *READ).withColumn("part", part).where(F.col("part") >= k + window - 1).select(*READ, "rev", "seq", starts.alias("start"))
+    return rows.select(*READ, "rev", _least_kmer(F.col("seq"), F.col("start"), k, window).alias("m")).select(*READ, "rev", F.col("m.h").alias("kmer"), F.col("m.i").alias("o"))
+
+
+def on_tiles(rows: DataFrame, tiles: DataFrame, start: Column, seq: Column, tile_len: int = TILE) -> DataFrame:
+    """``rows`` once for each tile that ``seq`` touches from 0-based ``start`` on, with at, piece and ref.
+
+    ``piece`` is the part of ``seq`` from offset ``at`` that lies on the tile and
+    ``ref`` the reference under it, shorter or absent where the contig ends.
+    Starts before the contig are left out.
+    """
+    s, n = F.col("_s"), F.length("_q")
+    rows = rows.withColumns({"_s": start.cast("bigint"), "_q": seq}).where((s >= 0) & (n > 0))
+    rows = rows.withColumn("_t", F.explode(F.sequence(F.floor(s / tile_len), F.floor((s + n - 1) / tile_len))))
+    begin = F.greatest(F.lit(0), F.col("_t") * tile_len - s).cast("int")
+    rows = rows.withColumn("at", begin)
+    room = (tile_len - (s + F.col("at")) % tile_len).cast("int")
+    rows = rows.withColumn("piece", F.substr("_q", F.col("at") + 1, room))
+    bases = tiles.select(F.col("contig").alias("_c"), F.col("tile").alias("_u"), F.col("seq").alias("_b"))
+    rows = rows.join(bases, (F.col("contig") == F.col("_c")) & (F.col("_t") == F.col("_u")))
+    ref = F.substr("_b", ((s + F.col("at")) % tile_len).cast("int") + 1, F.length("piece"))
+    return rows.withColumn("ref", ref).drop("_c", "_u", "_b", "_q", "_s", "_t")
+
+
+def places(reads: DataFrame, tiles: DataFrame, found: DataFrame, index: DataFrame, max_nm: int = 4, tile_len: int = TILE) -> DataFrame:
+    """(name, mate, rev, contig, pos, nm): the places that seeds vote for with at most ``max_nm`` mismatches."""
+    hits = found.join(index, "kmer").select(*READ, "rev", "contig", (F.col("pos0") - F.col("o")).alias("start0"))
+    voted = hits.repartition(*READ).dropDuplicates([*READ, "rev", "contig", "start0"])
+    own = F.when(F.col("rev"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    voted = voted.join(reads.select(*READ, "seq"), list(READ)).withColumns({"s": own, "n": F.length("seq")}).drop("seq")
+    pieces = on_tiles(voted, tiles, F.col("start0"), F.col("s"), tile_len)
+    wrong = mismatches(packed(F.col("piece"), tile_len), packed(F.col("ref"), tile_len))
+    sums = pieces.groupBy(*READ, "rev", "contig", "start0", "n").agg(F.sum(wrong).cast("int").alias("nm"), F.sum(F.length("ref")).alias("met"))
+    return sums.where((F.col("met") == F.col("n")) & (F.col("nm") <= max_nm)).select(*READ, "rev", "contig", (F.col("start0") + 1).alias("pos"), "nm")
+
+
+def _with_reads(placed: DataFrame, reads: DataFrame, *more: str) -> DataFrame:
+    """Sequences and qualities, as they lie on the reference, for places that stay."""
+    seq = F.when(F.col("rev"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
     qual = F.when(F.col("rev"), F.reverse("qual")).otherwise(F.col("qual"))
-    out = placed.withColumn("nm", nm.cast("int")).where(F.col("nm") <= max_nm)
-    return out.select("name", "mate", "rev", "contig", (F.col("start0") + 1).alias("pos"), "seq", qual.alias("qual"), "nm")
+    rows = placed.join(reads.select(*READ, "seq", "qual"), list(READ))
+    return rows.select(*READ, "rev", "contig", "pos", seq.alias("seq"), qual.alias("qual"), "nm", *more)
+
+
+def _voted_places(reads, tiles, k=K, offsets=OFFSETS, max_nm=4, max_occ=200, tile_len=TILE, index=None, everywhere=False, window=1) -> DataFrame:
+    if everywhere:
+        index = reference_kmers(tiles, k, None, tile_len, window) if index is None else index
+        return places(reads, tiles, part_seeds(reads, max_nm, k, window), index, max_nm, tile_len)
+    index = reference_kmers(tiles, k, max_occ, tile_len) if index is None else index
+    return places(reads, tiles, seeds(reads, k, offsets), index, max_nm, tile_len)
+
+
+def candidates(reads: DataFrame, tiles: DataFrame, **options) -> DataFrame:
+    """(name, mate, rev, contig, pos, seq, qual, nm): every place that a seed votes for, for :func:`align_reads`' options."""
+    return _with_reads(_voted_places(reads, tiles, **options), reads)
 
 
 def best_hit(hits: DataFrame) -> DataFrame:
@@ -94,8 +159,28 @@ def best_hit(hits: DataFrame) -> DataFrame:
 
 
 def align_reads(reads: DataFrame, tiles: DataFrame, **options) -> DataFrame:
-    """(name, mate, rev, contig, pos, seq, qual, nm, mapq): best hit of each read that has one."""
-    return best_hit(candidates(reads, tiles, **options))
+    """(name, mate, rev, contig, pos, seq, qual, nm, mapq): best hit of each read that has one.
+
+    ``reads(name, mate, seq, qual)``, name and mate naming a read. Options:
+    ``k``, ``offsets``, ``max_nm``, ``max_occ``, ``tile_len``; ``index``, a table of
+    :func:`save_index` made with the same k; ``everywhere`` for seeds by which no
+    place of ``max_nm`` mismatches is lost (:func:`part_seeds`, with ``k`` and ``window``).
+    """
+    return _with_reads(best_hit(_voted_places(reads, tiles, **options)), reads, "mapq")
+
+
+def align_everywhere(reads: DataFrame, tiles: DataFrame, max_nm: int = 4, ks: tuple[int, ...] = (16, 8), tile_len: int = TILE) -> DataFrame:
+    """:func:`align_reads` without lost places, for reads of mixed lengths: each read by the longest k-mers that its parts hold.
+
+    Reads of fewer than ``min(ks) * (max_nm + 1)`` bases have no hit.
+    """
+    part = F.floor(F.length("seq") / (max_nm + 1))
+    out = None
+    for above, k in zip((None, *sorted(ks, reverse=True)), sorted(ks, reverse=True)):
+        own = reads.where((part >= k) if above is None else (part >= k) & (part < above))
+        placed = _voted_places(own, tiles, k=k, max_nm=max_nm, tile_len=tile_len, everywhere=True)
+        out = placed if out is None else out.unionByName(placed)
+    return _with_reads(best_hit(out), reads, "mapq")
 
 
 def pair_alignments(hits: DataFrame, max_distance: int = 500) -> DataFrame:
@@ -125,31 +210,43 @@ def pair_alignments(hits: DataFrame, max_distance: int = 500) -> DataFrame:
     return proper.select(columns).unionByName(alone.select(columns))
 
 
-def splice_junctions(reads: DataFrame, tiles: DataFrame, k: int = K, min_gap: int = 20, max_gap: int = 20_000, max_nm: int = 4, tile_len: int = 32, max_occ: int = 200) -> DataFrame:
-    """(contig, donor, acceptor, strand, support) of reads whose first and last k bases lie apart.
+def spliced_reads(reads: DataFrame, tiles: DataFrame, k: int = K, min_gap: int = 20, max_gap: int = 20_000, max_nm: int = 4, tile_len: int = TILE, max_occ: int = 200, keys: tuple[str, ...] = ("name",)) -> DataFrame:
+    """(keys, rev, contig, start0, donor, acceptor, end0, nm) of reads whose first and last k bases lie apart.
 
-    ``reads(name, seq)``. Donor is the last base before the gap, acceptor the
-    first after it; of the splits with fewest mismatches the leftmost counts.
+    ``reads(name, seq)`` and other ``keys``. Donor is the last base before the
+    gap, acceptor the first after it; of the splits with fewest mismatches the
+    leftmost counts. A read is laid out from its first bases and from its last
+    ones; a split takes mismatches before it from the one and after it from the other.
     """
-    most = longest(reads)
-    both = _oriented(reads.select("name", F.lit(0).alias("mate"), "seq", F.lit("").alias("qual")))
     index = reference_kmers(tiles, k, max_occ, tile_len)
     left = index.select(F.col("kmer").alias("first"), "contig", F.col("pos0").alias("l"))
     right = index.select(F.col("kmer").alias("last"), "contig", F.col("pos0").alias("r"))
     n = F.length("seq")
-    anchored = both.where(n >= 2 * k).withColumn("first", F.substring("seq", 1, k)).withColumn("last", F.expr(f"substr(seq, -{k})"))
+    anchored = _oriented(reads, *keys).where(n >= 2 * k).withColumns({"first": F.xxhash64(F.substr("seq", F.lit(1), F.lit(k))), "last": F.xxhash64(F.substr("seq", n - (k - 1), F.lit(k)))})
     gap = F.col("r") - F.col("l") - (n - k)
-    spans = anchored.join(left, "first").join(right, ["last", "contig"]).where((gap >= min_gap) & (gap <= max_gap))
-    spans = at_reference(spans, tiles, F.col("l"), n, "refl", tile_len, most)
-    spans = at_reference(spans, tiles, F.col("r") + k - n, n, "refr", tile_len, most)
+    spans = anchored.join(left, "first").join(right, ["last", "contig"]).where((gap >= min_gap) & (gap <= max_gap)).drop("first", "last")
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("l").alias("at0")), F.struct(F.lit(1).alias("side"), (F.col("r") + k - n).alias("at0"))))
+    laid = spans.withColumn("e", ends).select(*keys, "rev", "contig", "seq", "l", "r", "e.*")
+    pieces = on_tiles(laid, tiles, F.col("at0"), F.col("seq"), tile_len)
+    wrong = F.filter(F.sequence(F.lit(0), F.length("piece") - 1), lambda i: F.substr("piece", i + 1, F.lit(1)) != F.substr("ref", i + 1, F.lit(1)))
+    pieces = pieces.withColumn("wrong", F.transform(wrong, lambda i: i + F.col("at")))
+    whole = pieces.groupBy(*keys, "rev", "contig", "seq", "l", "r").agg(
+        *(F.flatten(F.collect_list(F.when(F.col("side") == i, F.col("wrong")))).alias(f"wrong{i}") for i in (0, 1)), F.sum(F.length("ref")).alias("met")
+    )
 
     def split(s: Column) -> Column:
-        merged = F.concat(F.substr("refl", F.lit(1), s), F.substr("refr", s + 1))
-        return F.struct(mismatches(packed(F.col("seq"), most), packed(merged, most)).alias("nm"), s.alias("s"))
+        nm = F.size(F.filter("wrong0", lambda i: i < s)) + F.size(F.filter("wrong1", lambda i: i >= s))
+        return F.struct(nm.alias("nm"), s.alias("s"))
 
     best = F.array_min(F.transform(F.sequence(F.lit(k), n - k), split))
-    placed = spans.withColumn("best", best).where(F.col("best.nm") <= max_nm)
+    placed = whole.where(F.col("met") == 2 * n).withColumn("best", best).where(F.col("best.nm") <= max_nm)
     donor = F.col("l") + F.col("best.s")
     acceptor = F.col("r") + k - n + F.col("best.s") + 1
-    placed = placed.select("name", "contig", donor.alias("donor"), acceptor.alias("acceptor"), F.when(F.col("rev"), "-").otherwise("+").alias("strand"))
+    return placed.select(*keys, "rev", "contig", F.col("l").alias("start0"), donor.alias("donor"), acceptor.alias("acceptor"), (F.col("r") + k).alias("end0"), F.col("best.nm").alias("nm"))
+
+
+def splice_junctions(reads: DataFrame, tiles: DataFrame, **options) -> DataFrame:
+    """(contig, donor, acceptor, strand, support) of :func:`spliced_reads`."""
+    placed = spliced_reads(reads, tiles, **options).withColumn("strand", F.when(F.col("rev"), "-").otherwise("+"))
     return placed.groupBy("contig", "donor", "acceptor", "strand").agg(F.countDistinct("name").alias("support"))
+

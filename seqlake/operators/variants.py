@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import natural_key, phred
 from ..sources.text import drop_header_lines
-from .align import at_reference
 
 BASES = ("A", "C", "G", "T")
 
@@ -18,12 +17,11 @@ def min_quality_filter(alignments: DataFrame, min_mapq: int = 0, min_mean_qual:
     return alignments.where((F.col("mapq") > min_mapq) & (total >= min_mean_qual * F.length("qual")))
 
 
-def aligned_bases(alignments: DataFrame, min_phred: int = 25, extra: tuple[str, ...] = ()) -> DataFrame:
+def aligned_bases(alignments: DataFrame, min_phred: int = 25) -> DataFrame:
     """(contig, pos, base): the bases of well-placed reads of enough quality."""
-    rows = alignments.where("mapq > 0").select("contig", "pos", "seq", "qual", *extra, F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("i"))
+    rows = alignments.where("mapq > 0").select("contig", "pos", "seq", "qual", F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("i"))
     rows = rows.where(F.expr(f"ascii(substr(qual, i + 1, 1)) - 33 >= {min_phred}"))
-    picked = [F.expr(f"substr({c}, i + 1, 1)").alias(c) for c in extra]
-    return rows.select("contig", (F.col("pos") + F.col("i")).alias("pos"), F.expr("substr(seq, i + 1, 1)").alias("base"), *picked)
+    return rows.select("contig", (F.col("pos") + F.col("i")).alias("pos"), F.expr("substr(seq, i + 1, 1)").alias("base"))
 
 
 def pileup(alignments: DataFrame, min_phred: int = 25) -> DataFrame:
@@ -34,15 +32,18 @@ def pileup(alignments: DataFrame, min_phred: int = 25) -> DataFrame:
 def call_snps(alignments: DataFrame, tiles: DataFrame, min_phred: int = 25, min_depth: int = 4, tile_len: int = 32) -> DataFrame:
     """(contig, pos, ref, alt, qual, depth, alt_n, gt) by thresholds on base counts.
 
-    The reference bases come with each read, so the counts of a position are
-    one aggregation. Four fifths of the depth make 1/1, one fifth 0/1; qual is
-    ten times the alt bases.
+    The counts of a position are one aggregation with partial sums; the
+    reference base joins the counts, not the reads. Four fifths of the depth
+    make 1/1, one fifth 0/1; qual is ten times the alt bases.
     """
-    with_ref = at_reference(alignments.where("mapq > 0"), tiles, F.col("pos") - 1, F.length("seq"), tile_len=tile_len)
-    counts = aligned_bases(with_ref, min_phred, ("ref",)).groupBy("contig", "pos").agg(
-        F.max("ref").alias("ref"), F.count(F.lit(1)).alias("depth"), *(F.count_if(F.col("base") == b).alias(b) for b in BASES)
+    depths = aligned_bases(alignments, min_phred).groupBy("contig", "pos").agg(
+        F.count(F.lit(1)).alias("depth"), *(F.count_if(F.col("base") == b).alias(b) for b in BASES)
     )
-    alts = counts.where(F.col("depth") >= min_depth).select(
+    zero = F.col("pos") - 1
+    bases = tiles.select("contig", F.col("tile").alias("_t"), F.col("seq").alias("_b"))
+    counts = depths.where(F.col("depth") >= min_depth).withColumn("_t", F.floor(zero / tile_len)).join(bases, ["contig", "_t"])
+    counts = counts.withColumn("ref", F.substr("_b", (zero % tile_len).cast("int") + 1, F.lit(1))).where("ref <> ''")
+    alts = counts.select(
         "contig", "pos", "ref", "depth", F.explode(F.array(*(F.struct(F.lit(b).alias("alt"), F.col(b).alias("alt_n")) for b in BASES))).alias("x")
     ).select("contig", "pos", "ref", "depth", "x.*")
     gt = F.when(F.col("alt_n") * 5 >= F.col("depth") * 4, "1/1").when(F.col("alt_n") * 5 >= F.col("depth"), "0/1")

@@ -229,6 +229,22 @@ def align_reads(spark: SparkSession, d: str) -> DataFrame:
     return _aligned(spark, d)
 
 
+@query("SELECT name, mate, rev, contig, pos, seq, qual, nm, mapq FROM aligned")
+def align_with_kept_index(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "index")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    align.save_index(_tiles(spark, d), table, path, 8)
+    reads = _reads(spark, d)
+    mates = [align.align_reads(reads.where(F.col("mate") == m), _tiles(spark, d), index=spark.table(table)) for m in (1, 2)]
+    return variants.union_shards(*mates)
+
+
+@query("SELECT name, mate, rev, contig, pos, nm, CAST(CASE WHEN ties = 1 THEN 60 ELSE 0 END AS INT) AS mapq FROM every_best")
+def align_everywhere(spark: SparkSession, d: str) -> DataFrame:
+    reads = frame(spark, d, "worn_reads")
+    return align.align_everywhere(reads, _tiles(spark, d)).select("name", "mate", "rev", "contig", "pos", "nm", "mapq")
+
+
 @query("""SELECT p.name, p.mate, p.rev, p.contig, p.pos, p.nm, c.insert, c.name IS NOT NULL AS proper FROM (
       SELECT p.* FROM places p JOIN (SELECT *, unnest([1, 2]) AS mate FROM pairs_chosen) c ON p.name = c.name AND p.mate = c.mate AND p.contig = c.contig
         AND p.pos = CASE c.mate WHEN 1 THEN c.pos1 ELSE c.pos2 END AND p.rev = ((c.mate = 1) = c.rev1)

@@ -42,6 +42,11 @@ TABLES: dict[str, str | tuple[str, str]] = {
         UNION ALL
         SELECT o, 'r'||lpad(CAST(o AS STRING),7,'0') AS name, 2 AS mate, contig, st+100 AS st, reverse(translate(substr(seq,CAST(st+101 AS INT),40),'ACGT','TGCA')) AS s FROM ({PLACED}) b) r""",
     "reads": "SELECT name, mate, seq, qual FROM placed_reads",
+    # the same reads with up to four bases changed, at places that depend on the read
+    "worn_reads": """SELECT name, mate, qual, substr(a,1,p3-1)||translate(substr(a,p3,1),'ACGT','CGTA')||substr(a,p3+1) AS seq FROM (
+        SELECT name, mate, qual, CAST((o*7 + mate) % 40 + 1 AS INT) AS p3, substr(b,1,p2-1)||translate(substr(b,p2,1),'ACGT','GTAC')||substr(b,p2+1) AS a, o FROM (
+          SELECT name, mate, qual, CAST((o*3 + mate) % 40 + 1 AS INT) AS p2, substr(seq,1,p1-1)||translate(substr(seq,p1,2),'ACGT','TACG')||substr(seq,p1+2) AS b, o FROM (
+            SELECT name, mate, qual, CAST(o % 39 + 1 AS INT) AS p1, seq, o FROM placed_reads) x) y) z""",
     "vcf_shards": """SELECT CAST(o_orderkey % 8 AS INT) AS shard, q.contig, q.pos, r.base AS ref, translate(r.base,'ACGT','CGTA') AS alt, q.qual,
         CASE WHEN (q.qual + q.o_orderkey % 8) % 3 = 0 THEN '0/1' ELSE '1/1' END AS gt
       FROM (SELECT o_orderkey, 'chr'||CAST(o_custkey % 25 AS STRING) AS contig, 1+(o_orderkey*7919) % 200 AS pos,
@@ -84,6 +89,15 @@ TABLES: dict[str, str | tuple[str, str]] = {
         JOIN contigs c USING (contig) WHERE st >= 0 AND st + length(s) <= c.len) WHERE nm <= 4"""),
     "aligned": ("", """SELECT name, mate, rev, contig, pos, seq, qual, nm, CAST(CASE WHEN ties = 1 THEN 60 ELSE 0 END AS INT) AS mapq FROM (
         SELECT *, row_number() OVER (PARTITION BY name, mate ORDER BY nm, contig, pos, rev) AS first, count(*) OVER (PARTITION BY name, mate, nm) AS ties FROM places) WHERE first = 1"""),
+    # places of at most four mismatches anywhere: one of five disjoint parts is exact
+    "short_kmers": ("", "SELECT substr(seq, CAST(i AS BIGINT), 8) AS kmer, contig, i - 1 AS pos0 FROM (SELECT contig, seq, unnest(range(1, len-6)) AS i FROM contigs)"),
+    "every_place": ("", """SELECT * FROM (SELECT d.name, d.mate, d.rev, d.contig, st+1 AS pos,
+          CAST(len(list_filter(range(1, length(s)+1), lambda i: substr(s, i, 1) <> substr(c.seq, st+i, 1))) AS INT) AS nm
+        FROM (SELECT DISTINCT name, mate, rev, s, contig, pos0 - o AS st FROM (SELECT name, mate, rev, s, o, substr(s, o+1, 8) AS kmer FROM (
+            SELECT name, mate, false AS rev, seq AS s FROM worn_reads UNION ALL SELECT name, mate, true, reverse(translate(seq,'ACGT','TGCA')) FROM worn_reads), (VALUES (0),(8),(16),(24),(32)) v(o))
+          JOIN short_kmers USING (kmer)) d JOIN contigs c USING (contig) WHERE st >= 0 AND st + length(s) <= c.len) WHERE nm <= 4"""),
+    "every_best": ("", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, mate ORDER BY nm, contig, pos, rev) AS first, count(*) OVER (PARTITION BY name, mate, nm) AS ties
+        FROM every_place) WHERE first = 1"""),
     "bases": ("", """SELECT contig, pos + i - 1 AS pos, substr(seq, i, 1) AS base FROM (SELECT *, unnest(range(1, length(seq)+1)) AS i FROM aligned WHERE mapq > 0)
         WHERE ascii(substr(qual, i, 1)) - 33 >= 25"""),
     "piles": ("", "SELECT contig, pos, base, count(*) AS n FROM bases GROUP BY ALL"),

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from seqlake.functions import scalars
-from seqlake.operators import align, intervals, jobs, rnaseq, variants
+from seqlake.operators import align, intervals, jobs, recal, rnaseq, variants
 from seqlake.plans import pipelines
 from seqlake.registry.tables import frame
 from seqlake.sources import text
@@ -54,6 +54,95 @@ def test_long_reads_align_and_count_every_mismatch(spark, n):
     assert len(found) == 1 and found[0]["acceptor"] - found[0]["donor"] == 300 - (40 + n // 2) + 1
 
 
+def brute_places(genome, reads, max_nm):
+    import numpy as np
+
+    g = np.frombuffer(genome.encode(), np.uint8)
+    out = {}
+    for name, seq in reads:
+        for rev, s in ((False, seq), (True, seq[::-1].translate(str.maketrans("ACGT", "TGCA")))):
+            q = np.frombuffer(s.encode(), np.uint8)
+            for at, w in enumerate(np.lib.stride_tricks.sliding_window_view(g, len(q))):
+                if (nm := int((w != q).sum())) <= max_nm:
+                    out.setdefault(name, []).append((nm, at + 1, rev))
+    return {n: min(p) for n, p in out.items()}
+
+
+@pytest.mark.parametrize("window", [1, 3])
+def test_no_place_is_lost_wherever_the_mismatches_are(spark, window):
+    r = random.Random(window)
+    genome = "".join(r.choice("ACGT") for _ in range(1500))
+    genome = genome[:900] + genome[100:160] + genome[900:] + "A" * 60  # a repeat and a frequent k-mer
+    tiles = spark.createDataFrame([("c", i // 32, i, genome[i : i + 32]) for i in range(0, len(genome), 32)], "contig string, tile long, start0 long, seq string")
+    reads = []
+    for n in (40, 41, 75, 79, 80, 81, 150, 250):
+        for j in range(12):
+            at = r.randrange(len(genome) - n + 1)
+            s = list(genome[at : at + n])
+            for i in (r.sample(range(n), 4) if j % 3 else [13, 26]):
+                s[i] = r.choice("ACGTN".replace(s[i], ""))
+            s = "".join(s)
+            reads.append((f"r{n}.{j}", s if j % 2 else s[::-1].translate(str.maketrans("ACGT", "TGCA"))))
+    df = spark.createDataFrame([(n, 1, s, "I" * len(s)) for n, s in reads], "name string, mate int, seq string, qual string")
+    want = brute_places(genome, reads, 4)
+    assert len(want) == len(reads)
+    if window == 1:
+        got = align.align_everywhere(df, tiles)
+    else:
+        long = df.where("length(seq) >= 75")
+        got = align.align_reads(long, tiles, k=11, window=window, everywhere=True)  # parts hold 13 bases at least
+        want = {n: p for n, p in want.items() if int(n[1:].split(".")[0]) >= 75}
+    assert {x["name"]: (x["nm"], x["pos"], x["rev"]) for x in got.collect()} == want
+
+
+def test_a_kept_index_is_read_without_a_shuffle(spark, tmp_path):
+    tiles = frame(spark, DATA, "contig_tiles")
+    frame(spark, DATA, "reads").write.parquet(str(tmp_path / "reads"))
+    reads = spark.read.parquet(str(tmp_path / "reads"))
+    spark.sql("DROP TABLE IF EXISTS kept_kmers")
+    align.save_index(tiles, "kept_kmers", str(tmp_path / "kept"), 4, window=5)
+    index = spark.table("kept_kmers")
+    assert 0.2 < index.count() / align.minimizers(tiles).count() < 0.6
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = align.seeds(reads, offsets=(0,)).join(index, "kmer")
+        text = plan(found)
+        assert text.count("Exchange") == 1 and "Exchange" not in text[text.index("kept_kmers") - 200 :], text  # that of the seeds
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(AnalysisException):
+        align.save_index(tiles, "kept_kmers", str(tmp_path / "other"), 4)
+    spark.sql("DROP TABLE kept_kmers")
+
+
+def test_no_job_starts_while_plans_are_built(spark):
+    reads, tiles, contigs, sites, spliced = (frame(spark, DATA, t) for t in ("reads", "contig_tiles", "contig_lens", "known_sites", "spliced_reads"))
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        aligned = align.align_reads(reads, tiles)
+        variants.call_snps(aligned, tiles)
+        table = recal.count_covariates(aligned, tiles, sites)
+        recal.recalibrate(aligned, table)
+        pipelines.snp_pipeline(reads, tiles, contigs)
+        pipelines.recalibrated_calls(aligned, tiles, contigs)
+        align.splice_junctions(spliced, tiles)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_recalibration_looks_up_or_joins(spark):
+    reads = [("a", 1, "c", 1, False, "ACGTN", "IIII5"), ("b", 1, "c", 1, True, "ACGTN", "I5III"), ("e", 1, "c", 1, False, "", ""), ("x", 1, "c", 1, True, "AC*GT", "!~III")]
+    alignments = spark.createDataFrame(reads, "name string, mate int, contig string, pos long, rev boolean, seq string, qual string")
+    table = spark.createDataFrame([(40, 1, "NA", 98, 9), (40, 2, "AC", 998, 0), (20, 5, "TN", 8, 4), (40, 1, "NN", 0, 0), (40, 3, "AC", 98, 9), (40, 1, "NA", 98, 9), (200, 1, "NA", 1, 1)], "reported_q int, cycle int, context string, n_obs long, n_mismatch long")
+    table = recal.merge_covariates(table)
+    by_array, by_join = (sorted(map(tuple, recal.recalibrate(alignments, table, m).collect())) for m in (300, 0))
+    assert by_array == by_join and by_array[0][6] != "IIII5"
+    text = plan(recal.recalibrate(alignments.where("length(seq) < 9"), table))
+    assert "Subquery" in text
+    assert sorted(map(tuple, recal.recalibrate(alignments, table.limit(0)).collect())) == sorted(reads)
+
+
 def test_alignment_does_not_depend_on_partitions(spark):
     reads, tiles = frame(spark, DATA, "reads").where("name < 'r0000200'"), frame(spark, DATA, "contig_tiles")
     a, b = (sorted(map(tuple, align.align_reads(reads.repartition(n), tiles).collect())) for n in (1, 7))
