@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import read_key
-from ..operators import align, intervals, recal, rnaseq, variants
+from ..functions.scalars import natural_key, read_key
+from ..operators import align, assembly, intervals, recal, rnaseq, variants
 from ..sources import text
+from ..sources.scratch import written
 
 
 def _merged(calls: DataFrame, contigs: DataFrame, bin_size: int) -> DataFrame:
@@ -23,7 +24,7 @@ def snp_pipeline(reads: DataFrame, tiles: DataFrame, contigs: DataFrame, bin_siz
 
 
 def snp_file(spark: SparkSession, first: str, second: str, tiles: DataFrame, contigs: DataFrame, out: str, bin_size: int = 1_000_000) -> None:
-    """FASTQ files of both mates in, one VCF file with genotypes out."""
+    """FASTQ files of both mates in, one VCF with genotypes out, in a folder of files in order."""
     mates = [text.fastq_scan(spark, [path]).select(read_key(F.col("name")).alias("name"), F.lit(mate).alias("mate"), "seq", "qual") for mate, path in ((1, first), (2, second))]
     calls = snp_pipeline(variants.union_shards(*mates), tiles, contigs, bin_size)
     text.vcf_write(calls, variants.contig_ranks(contigs), out)
@@ -84,7 +85,7 @@ def rnaseq_from_reads(reads: DataFrame, tiles: DataFrame, hits: DataFrame, refer
     classes = rnaseq.cuffcompare(own, reference).withColumnRenamed("transcript_id", "locus")
     introns = junctions.select(*place, F.col("donor").alias("start0a"), (F.col("acceptor") - 1).alias("end0a"))
     spans = loci.select("locus", *place, (F.col("start") - 1).alias("start0b"), F.col("end").alias("end0b"))
-    spanned = intervals.overlap_join(introns, spans, place, 1000).groupBy("locus").agg(F.count(F.lit(1)).alias("n_junctions"))
+    spanned = intervals.nested_overlap_join(introns, spans, place).groupBy("locus").agg(F.count(F.lit(1)).alias("n_junctions"))
     return (
         loci.join(tests, "locus", "left").join(classes, "locus", "left").join(spanned, "locus", "left")
         .withColumn("n_junctions", F.coalesce("n_junctions", F.lit(0)))
@@ -92,12 +93,45 @@ def rnaseq_from_reads(reads: DataFrame, tiles: DataFrame, hits: DataFrame, refer
     )
 
 
+def rnaseq_study(reads: DataFrame, tiles: DataFrame, reference: DataFrame, conditions: Mapping[str, str], min_support: int = 2) -> DataFrame:
+    """(transcript_id, contig, strand, n_exons, start, end, n_samples, gene_id, log2fc, p, q, class_code, ref_transcript_id).
+
+    From ``reads(sample, name, seq)`` alone: placed whole or spliced; a splice
+    graph of each sample and its heaviest paths as transcripts; equal ones
+    merged over samples; abundance of each in each sample; genes, as stretches
+    of overlapping transcripts, tested between the first and last condition in
+    order; transcripts classed by the ``reference`` exons. Placed reads and
+    transcripts are written tables, as several steps read them.
+    """
+    place = ["contig", "strand"]
+    placed = written(assembly.place_rna_reads(reads, tiles), "placed")
+    exons = written(assembly.merge_assemblies(assembly.assemble_transcripts(placed, min_support)), "models")
+    models = exons.groupBy("transcript_id", *place, "n_samples").agg(F.count(F.lit(1)).alias("n_exons"), F.min("start").alias("start"), F.max("end").alias("end"))
+    loci = rnaseq.assemble_islands(models, 0, place).select(*place, F.col("start").alias("first"), (F.col("start") - 1).alias("start0b"), F.col("end").alias("end0b"))
+    spans = models.withColumns({"start0a": F.col("start") - 1, "end0a": F.col("start")})
+    genes = intervals.overlap_join(spans, loci, place, 1000).withColumn("gene_id", F.concat_ws(".", *place, F.col("first").cast("string")))
+    genes = genes.drop("first", "start0a", "end0a", "start0b", "end0b")
+
+    samples = F.array(*map(F.lit, sorted(conditions)))
+    levels = rnaseq.transcript_abundance(assembly.block_hits(placed), exons.withColumn("sample", F.explode(samples)))
+    condition = F.create_map(*(F.lit(x) for pair in sorted(conditions.items()) for x in pair))[F.col("sample")]
+    amounts = levels.join(genes.select("transcript_id", "gene_id"), "transcript_id").groupBy("sample", "gene_id").agg(F.sum("milli_fpkm").alias("amount"))
+    labels = sorted(set(conditions.values()))
+    tests = rnaseq.bh_qvalues(rnaseq.diff_expression(amounts.withColumn("condition", condition), labels[0], labels[-1])).select("gene_id", "log2fc", "p", "q")
+    classes = rnaseq.cuffcompare(exons, reference)
+    columns = ["transcript_id", *place, "n_exons", "start", "end", "n_samples", "gene_id", "log2fc", "p", "q", "class_code", "ref_transcript_id"]
+    return genes.join(tests, "gene_id", "left").join(classes, "transcript_id", "left").select(*columns)
+
+
 def annotate_transcripts(features: DataFrame, gtf: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Intersect, project, dedupe, one document a sample: level is the exon's length.
+    """Sort by place, intersect, project, dedupe, one document a sample: level is the exon's length.
 
-    gtf: sample, contig, start, end, strand, attributes.
+    gtf: sample, contig, start, end, strand, attributes. The sort deals the
+    exons by ranges of their natural place, as the files of the chain are; which row
+    of a transcript stays is its first in that order.
     """
-    pairs = intervals.interval_intersect(features, gtf)
+    placed = gtf.repartitionByRange(*natural_key(F.col("contig")), "start").sortWithinPartitions(*natural_key(F.col("contig")), "start")
+    pairs = intervals.interval_intersect(features, placed)
     rows = intervals.dedupe_transcripts(intervals.gtf_project(pairs))
     samples = gtf.select(intervals.transcript_of(F.col("attributes")).alias("transcript_id"), "sample").distinct()
     levels = rows.join(samples, "transcript_id").select("sample", F.col("transcript_id").alias("feature"), (F.col("end") - F.col("start") + 1).alias("level"))

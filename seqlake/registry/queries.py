@@ -110,8 +110,8 @@ def manifest_load(spark: SparkSession, d: str) -> DataFrame:
     SELECT value, CAST(floor((row_number() OVER (ORDER BY value) - 1)/7) AS BIGINT) AS chunk FROM source_lines) GROUP BY chunk""")
 def nline_chunks(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "lines")
-    frame(spark, d, "source_lines").select("value").orderBy("value").coalesce(1).write.text(path)  # one control file, in order
-    chunks = text.nline_chunks(text.numbered_lines(spark, path), 7)
+    text.sorted_lines(frame(spark, d, "source_lines"), ["value"], path)  # a control list, in order
+    chunks = text.nline_chunks(text.numbered_lines(spark, path, across=True), 7)
     return chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first"), F.max("value").alias("last"))
 
 
@@ -148,7 +148,7 @@ def vcf_write(spark: SparkSession, d: str) -> DataFrame:
     ranks = variants.contig_ranks(frame(spark, d, "contig_lens"))
     path = scratch(spark, "vcf")
     text.vcf_write(variants.vcf_merge(frame(spark, d, "vcf_shards"), ranks), ranks, path)
-    return text.numbered_lines(spark, path).select("idx", "value")
+    return text.numbered_lines(spark, path, across=True).select("idx", "value")
 
 
 @query("SELECT contig, pos FROM known_sites")
@@ -307,13 +307,16 @@ def recalibrate(spark: SparkSession, d: str) -> DataFrame:
     return recal.recalibrate(hits, table).select("name", "mate", "contig", "pos", "qual")
 
 
-@query("""SELECT 'none'||CAST(i AS STRING) AS name, 'missing' AS problem FROM (SELECT unnest(range(10)) AS i)
-    UNION ALL SELECT 'planet', 'unsupported genome'""")
+ASKED = "SELECT CASE WHEN length % 5 = 0 THEN name||'.old' ELSE name END AS name, CASE WHEN length % 7 = 0 THEN 'planet'||CAST(length AS STRING) ELSE 'kb|g.'||CAST(length AS STRING) END AS genome FROM genome_files"
+
+
+@query(f"""SELECT name, 'missing' AS problem FROM ({ASKED}) WHERE name NOT IN (SELECT name FROM genome_files)
+    UNION ALL SELECT DISTINCT genome, 'unsupported genome' FROM ({ASKED}) WHERE genome NOT IN (
+      SELECT CASE WHEN starts_with(g, 'kb_') THEN replace(g, 'kb_', 'kb|') ELSE g END FROM (SELECT replace(name, '_samtools.tar.gz', '') AS g FROM genome_files WHERE contains(name, '_samtools.tar.gz')))""")
 def validate_inputs(spark: SparkSession, d: str) -> DataFrame:
     files = frame(spark, d, "genome_files")
-    genomes = jobs.list_genomes(files, every=True)
-    asked = files.select("name", F.lit("kb|g.0").alias("genome")).unionByName(spark.range(10).select(F.concat(F.lit("none"), F.col("id").cast("string")).alias("name"), F.lit("planet").alias("genome")))
-    return jobs.validate_inputs(asked, files, genomes)
+    asked = spark.sql(ASKED.replace("genome_files", "{files}"), files=files)
+    return jobs.validate_inputs(asked, files, jobs.list_genomes(files, every=True))
 
 
 @query("""SELECT key, id FROM id_registry UNION ALL
@@ -371,11 +374,13 @@ def _metadata(spark: SparkSession, d: str) -> DataFrame:
     return frame(spark, d, "exons").select("sample").distinct().select("sample", F.lit("kb|g.0").alias("genome_id"), F.concat(F.lit("sample "), "sample").alias("title"))
 
 
-@query("""SELECT s.region AS file, CASE WHEN i <= 2 THEN 'T1' ELSE 'T2' END AS label, CAST(CASE WHEN i <= 2 THEN i ELSE i - 2 END AS INT) AS replicate
-    FROM (SELECT r_name AS region, row_number() OVER (ORDER BY r_name) AS i FROM region) s""")
+@query("""SELECT c_nationkey, c_name AS file, CASE WHEN first THEN 'T1' ELSE 'T2' END AS label, CAST(row_number() OVER (PARTITION BY c_nationkey, first ORDER BY c_name) AS INT) AS replicate
+    FROM (SELECT c_nationkey, c_name, c_custkey % 3 = 0 AS first FROM customer) WHERE c_nationkey IN (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) FILTER (WHERE c_custkey % 3 = 0) BETWEEN 1 AND count(*) - 1)""")
 def parse_condition_groups(spark: SparkSession, d: str) -> DataFrame:
-    names = [r[0] for r in frame(spark, d, "region").select("r_name").orderBy("r_name").collect()]  # an option string
-    return rnaseq.parse_condition_groups(spark, ",".join(names[:2]) + ":" + ",".join(names[2:]), "T1,T2")
+    files = frame(spark, d, "customer").select("c_nationkey", "c_name", (F.col("c_custkey") % 3 != 0).alias("second"))
+    groups = files.groupBy("c_nationkey", "second").agg(F.array_join(F.array_sort(F.collect_list("c_name")), ",").alias("files"))
+    options = groups.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("second", "files"))).alias("g")).where(F.size("g") == 2)
+    return rnaseq.condition_groups(options.select("c_nationkey", F.array_join("g.files", ":").alias("groups"), F.lit("T1,T2").alias("labels")))
 
 
 # Windows
@@ -429,9 +434,10 @@ def latest_job_status(spark: SparkSession, d: str) -> DataFrame:
 def natural_sort(spark: SparkSession, d: str) -> DataFrame:
     rows = frame(spark, d, "exons").select("contig", "start", "transcript_id").distinct()
     path = scratch(spark, "sorted")
-    intervals.natural_sort(rows, "contig", "start", "transcript_id").coalesce(1).select(F.concat_ws("\t", "contig", F.col("start").cast("string"), "transcript_id").alias("value")).write.text(path)
+    line = F.concat_ws("\t", "contig", F.col("start").cast("string"), "transcript_id")
+    intervals.natural_sort(rows, "contig", "start", "transcript_id").select(line.alias("value")).write.text(path)
     parts = F.split("value", "\t")
-    return text.numbered_lines(spark, path).select(parts[0].alias("contig"), parts[1].cast("bigint").alias("start"), parts[2].alias("transcript_id"), "idx")
+    return text.numbered_lines(spark, path, across=True).select(parts[0].alias("contig"), parts[1].cast("bigint").alias("start"), parts[2].alias("transcript_id"), "idx")
 
 
 @query(f"SELECT contig, CAST(floor((pos-1)/{BIN}) AS BIGINT) AS bin, count(*) AS n FROM ref_bases GROUP BY ALL")
@@ -533,6 +539,20 @@ def snp_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.snp_pipeline(_reads(spark, d), _tiles(spark, d), frame(spark, d, "contig_lens"), BIN).drop("shard")
 
 
+@query("""SELECT CAST(row_number() OVER (ORDER BY r, pos, ref, alt) - 1 AS BIGINT) AS idx, value FROM (
+    SELECT -3 AS r, 0 AS pos, '' AS ref, '' AS alt, '##fileformat=VCFv4.2' AS value
+    UNION ALL SELECT -2, rank, '', '', '##contig=<ID='||contig||',length='||CAST(len AS STRING)||'>' FROM ranks
+    UNION ALL SELECT -1, 0, '', '', concat_ws(chr(9), '#CHROM','POS','ID','REF','ALT','QUAL','FILTER','INFO','FORMAT','sample')
+    UNION ALL SELECT rank, pos, ref, alt, concat_ws(chr(9), contig, CAST(pos AS STRING), '.', ref, alt, CAST(qual AS STRING), '.', '.', 'GT', gt) FROM calls JOIN ranks USING (contig))""")
+def snp_file(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "snp")
+    reads = _reads(spark, d).select(F.concat_ws("/", "name", "mate").alias("name"), F.lit("len=40").alias("description"), "seq", "qual", "mate")
+    for mate in (1, 2):
+        text.fastq_lines(reads.where(F.col("mate") == mate)).write.text(f"{path}/{mate}")
+    pipelines.snp_file(spark, f"{path}/1", f"{path}/2", _tiles(spark, d), frame(spark, d, "contig_lens"), f"{path}/vcf", BIN)
+    return text.numbered_lines(spark, f"{path}/vcf", across=True).select("idx", "value")
+
+
 @query("SELECT coalesce(k.rank, 2147483647) AS rank, contig, pos, ref, alt, CAST(qual AS BIGINT) AS qual, gt FROM recalled LEFT JOIN ranks k USING (contig)")
 def recalibrated_calls(spark: SparkSession, d: str) -> DataFrame:
     hits = written(_aligned(spark, d), "aligned")
@@ -556,6 +576,14 @@ def rnaseq_from_reads(spark: SparkSession, d: str) -> DataFrame:
     return loci.withColumnRenamed("end", "stop")
 
 
+@query("""SELECT transcript_id, m.contig, m.strand, CAST(len(string_split(coalesce(introns||',', ''), ',')) AS BIGINT) AS n_exons, m.start, m."end" AS stop, n_samples, gene_id, log2fc, p, q, class_code, ref_transcript_id
+    FROM rna_models m JOIN rna_gene_of USING (transcript_id) LEFT JOIN study_qvalues USING (gene_id) LEFT JOIN study_classes USING (transcript_id)""")
+def rnaseq_study(spark: SparkSession, d: str) -> DataFrame:
+    conditions = {"1": "T1", "2": "T1", "3": "T2", "4": "T2"}
+    reads = frame(spark, d, "rna_reads")
+    return pipelines.rnaseq_study(reads, _tiles(spark, d), frame(spark, d, "rna_ref_exons"), conditions).withColumnRenamed("end", "stop")
+
+
 @query("""SELECT q.gene_id, log2fc, p, q, n_transcripts, n_matched FROM fpkm_qvalues q JOIN (
     SELECT gene_id, count(*) AS n_transcripts, count(*) FILTER (WHERE class_code IN ('=','c','j')) AS n_matched
     FROM classes JOIN (SELECT DISTINCT transcript_id, gene_id FROM query_exons) g USING (transcript_id) GROUP BY gene_id) c ON c.gene_id = q.gene_id""")

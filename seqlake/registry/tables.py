@@ -208,6 +208,84 @@ TABLES["locus_classes"] = ("", """SELECT locus, code, ref_transcript_id FROM (
       WHERE j.transcript_id IN (SELECT transcript_id FROM ref_exons))) WHERE first = 1""")
 
 
+# a study from reads to compared genes: genes of three exons, each a tile, three tiles apart
+TABLES["rna_genes"] = """SELECT a.contig, a.tile, a.seq AS e1, b.seq AS e2, c.seq AS e3, CAST(substr(a.contig,4) AS BIGINT) + CAST(floor(a.tile/12) AS BIGINT) AS g
+    FROM contig_tiles a JOIN contig_tiles b ON b.contig = a.contig AND b.tile = a.tile + 3 JOIN contig_tiles c ON c.contig = a.contig AND c.tile = a.tile + 6 WHERE a.tile % 12 = 0"""
+TABLES["rna_reads"] = """SELECT CAST(s AS STRING) AS sample, contig||'.'||CAST(tile AS STRING)||'.'||CAST(k AS STRING)||'.'||CAST(n AS STRING) AS name,
+      CASE WHEN g % 2 = 1 THEN reverse(translate(seq,'ACGT','TGCA')) ELSE seq END AS seq FROM (
+    SELECT s, contig, tile, k, n, g, CASE k WHEN 0 THEN e1 WHEN 1 THEN e2 WHEN 2 THEN e3 WHEN 3 THEN substr(e1,13)||substr(e2,1,20) WHEN 4 THEN substr(e2,13)||substr(e3,1,20) ELSE substr(e1,13)||substr(e3,1,20) END AS seq
+    FROM rna_genes CROSS JOIN (VALUES (1),(2),(3),(4)) samples(s) CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5)) kinds(k) CROSS JOIN (VALUES (1),(2),(3),(4),(5)) copies(n)
+    WHERE n <= 1 + (g*7 + s*3 + k) % 4 + CASE WHEN s > 2 AND g % 3 = 0 THEN 1 ELSE 0 END AND (k <> 5 OR (g + s) % 3 = 0) AND (k NOT IN (2, 4) OR g % 5 <> 2) AND (k <> 3 OR g % 7 <> 3)) r"""
+TABLES["rna_ref_exons"] = """SELECT 'R'||contig||'.'||CAST(tile AS STRING) AS transcript_id, contig, CASE WHEN g % 4 = 2 OR g % 2 = 1 THEN '-' ELSE '+' END AS strand, n AS exon_number,
+      (tile + 3*(n-1))*32 + 1 AS start, (tile + 3*(n-1))*32 + 32 AS "end" FROM rna_genes CROSS JOIN (VALUES (1),(2),(3)) parts(n) WHERE g % 4 <> 1"""
+TABLES["rna_keyed"] = ("", "SELECT sample||' '||name AS name, 0 AS mate, seq, '' AS qual FROM rna_reads")
+for _t in ("seeds", "places", "aligned"):
+    TABLES[f"rna_{_t}"] = ("", re.sub(r"\b(FROM|JOIN) (seeds|places)\b", r"\1 rna_\2", TABLES[_t][1]).replace("FROM reads", "FROM rna_keyed"))
+TABLES["rna_unplaced"] = ("", "SELECT name, seq FROM rna_keyed WHERE name NOT IN (SELECT name FROM rna_aligned)")
+TABLES["rna_splits"] = ("", """SELECT *, row_number() OVER (PARTITION BY name ORDER BY nm, contig, l, l + s, r + 16 - n + s + 1, r, strand) AS best FROM (
+    SELECT *, row_number() OVER (PARTITION BY name, strand, contig, l, r ORDER BY nm, s) AS first FROM (
+      SELECT x.*, CAST(len(list_filter(range(1, n+1), lambda i: substr(x.s1, i, 1) <> CASE WHEN i <= s THEN substr(c.seq, l+i, 1) ELSE substr(c.seq, r+16-n+i, 1) END)) AS INT) AS nm
+      FROM (SELECT q.*, a.contig, a.pos0 AS l, b.pos0 AS r, length(q.s1) AS n, unnest(range(16, length(q.s1)-15)) AS s FROM (
+          SELECT name, seq AS s1, '+' AS strand FROM rna_unplaced UNION ALL SELECT name, reverse(translate(seq,'ACGT','TGCA')), '-' FROM rna_unplaced) q
+        JOIN kmers a ON a.kmer = substr(q.s1, 1, 16) JOIN kmers b ON b.kmer = substr(q.s1, length(q.s1)-15, 16) AND b.contig = a.contig
+        WHERE b.pos0 - a.pos0 - (length(q.s1) - 16) BETWEEN 20 AND 20000) x JOIN contigs c USING (contig))) WHERE first = 1 AND nm <= 4""")
+TABLES["rna_blocks"] = ("", """SELECT split_part(name, ' ', 1) AS sample, name, contig, CASE WHEN rev THEN '-' ELSE '+' END AS strand, pos AS start, pos + length(seq) - 1 AS "end" FROM rna_aligned WHERE mapq > 0
+    UNION ALL SELECT split_part(name, ' ', 1), name, contig, strand, l + 1, l + s FROM rna_splits WHERE best = 1
+    UNION ALL SELECT split_part(name, ' ', 1), name, contig, strand, r + 16 - n + s + 1, r + 16 FROM rna_splits WHERE best = 1""")
+TABLES["rna_junctions"] = ("", """SELECT split_part(name, ' ', 1) AS sample, contig, strand, l + s AS donor, r + 16 - n + s + 1 AS acceptor, count(*) AS support
+    FROM rna_splits WHERE best = 1 GROUP BY ALL HAVING count(*) >= 2""")
+TABLES["rna_cover"] = ("", """SELECT sample, contig, strand, pos, count(*) AS depth FROM (SELECT sample, contig, strand, unnest(range(start, "end"+1)) AS pos FROM rna_blocks) GROUP BY ALL""")
+TABLES["rna_cuts"] = ("", "SELECT sample, contig, strand, donor + 1 AS pos, 1 AS cut FROM rna_junctions UNION SELECT sample, contig, strand, acceptor, 1 FROM rna_junctions")
+TABLES["rna_nodes"] = ("", """SELECT sample, contig, strand, min(pos) AS start, max(pos) AS "end", CAST(sum(depth) AS BIGINT) AS weight FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY sample, contig, strand ORDER BY pos ROWS UNBOUNDED PRECEDING) AS seg FROM (
+      SELECT *, CASE WHEN cut IS NULL AND lag(pos) OVER (PARTITION BY sample, contig, strand ORDER BY pos) = pos - 1 THEN 0 ELSE 1 END AS fresh
+      FROM rna_cover LEFT JOIN rna_cuts USING (sample, contig, strand, pos))) GROUP BY sample, contig, strand, seg""")
+TABLES["rna_edges"] = ("", """SELECT sample, contig, strand, a.start AS u, b.start AS v, CAST(0 AS BIGINT) AS support FROM rna_nodes a JOIN rna_nodes b USING (sample, contig, strand) WHERE b.start = a."end" + 1
+    UNION ALL SELECT sample, contig, strand, a.start, b.start, support FROM rna_junctions j JOIN rna_nodes a USING (sample, contig, strand) JOIN rna_nodes b USING (sample, contig, strand)
+    WHERE a."end" = j.donor AND b.start = j.acceptor""")
+# all ways to a node, written backwards, and all ways from it
+TABLES["rna_back"] = ("", """SELECT sample, contig, strand, start AS v, weight AS w, [start] AS path FROM rna_nodes
+    UNION ALL SELECT p.sample, p.contig, p.strand, e.v, p.w + e.support + n.weight, list_prepend(e.v, p.path) FROM rna_back p JOIN rna_edges e ON e.sample = p.sample AND e.contig = p.contig AND e.strand = p.strand AND e.u = p.v
+      JOIN rna_nodes n ON n.sample = p.sample AND n.contig = p.contig AND n.strand = p.strand AND n.start = e.v""")
+TABLES["rna_forth"] = ("", """SELECT sample, contig, strand, start AS v, weight AS w, [start] AS path FROM rna_nodes
+    UNION ALL SELECT p.sample, p.contig, p.strand, e.u, p.w + e.support + n.weight, list_prepend(e.u, p.path) FROM rna_forth p JOIN rna_edges e ON e.sample = p.sample AND e.contig = p.contig AND e.strand = p.strand AND e.v = p.v
+      JOIN rna_nodes n ON n.sample = p.sample AND n.contig = p.contig AND n.strand = p.strand AND n.start = e.u""")
+for _t in ("back", "forth"):
+    TABLES[f"rna_best_{_t}"] = ("", f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample, contig, strand, v ORDER BY w DESC, path) AS first FROM rna_{_t}) WHERE first = 1")
+TABLES["rna_paths"] = ("", """SELECT DISTINCT sample, contig, strand, list_concat(list_reverse(p.path), q.path) AS path FROM rna_edges e JOIN rna_best_back p USING (sample, contig, strand) JOIN rna_best_forth q USING (sample, contig, strand)
+    WHERE p.v = e.u AND q.v = e.v UNION ALL SELECT sample, contig, strand, [start] FROM rna_nodes n
+    WHERE NOT EXISTS (SELECT 1 FROM rna_edges e WHERE e.sample = n.sample AND e.contig = n.contig AND e.strand = n.strand AND (e.u = n.start OR e.v = n.start))""")
+TABLES["rna_exons"] = ("", """SELECT sample, contig, strand, path, min(start) AS start, max("end") AS "end" FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY sample, contig, strand, path ORDER BY start ROWS UNBOUNDED PRECEDING) AS exon FROM (
+      SELECT p.*, n.start, n."end", CASE WHEN lag(n."end") OVER (PARTITION BY sample, contig, strand, path ORDER BY n.start) = n.start - 1 THEN 0 ELSE 1 END AS fresh
+      FROM (SELECT *, unnest(path) AS at FROM rna_paths) p JOIN rna_nodes n USING (sample, contig, strand) WHERE n.start = p.at)) GROUP BY sample, contig, strand, path, exon""")
+TABLES["rna_spans"] = ("", """SELECT sample, contig, strand, path, min(start) AS start, max("end") AS "end", string_agg(CAST("end" AS STRING)||'-'||CAST(nx AS STRING), ',' ORDER BY start) AS introns
+    FROM (SELECT *, lead(start) OVER (PARTITION BY sample, contig, strand, path ORDER BY start) AS nx FROM rna_exons) GROUP BY sample, contig, strand, path""")
+TABLES["rna_models"] = ("", """SELECT contig||'.'||strand||'.'||CAST(start AS STRING)||'-'||coalesce(translate(introns, ',-', '-,')||'-', '')||CAST("end" AS STRING) AS transcript_id, * FROM (
+    SELECT contig, strand, introns, min(start) AS start, max("end") AS "end", count(DISTINCT sample) AS n_samples FROM rna_spans WHERE introns IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT contig, strand, NULL, min(start), max("end"), count(DISTINCT sample) FROM (
+      SELECT *, sum(fresh) OVER (PARTITION BY contig, strand ORDER BY start, "end", sample ROWS UNBOUNDED PRECEDING) AS island FROM (
+        SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY contig, strand ORDER BY start, "end", sample ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh
+        FROM rna_spans WHERE introns IS NULL)) GROUP BY contig, strand, island)""")
+TABLES["rna_model_exons"] = ("", """SELECT transcript_id, contig, strand, CAST(split_part(x, '-', 1) AS BIGINT) AS start, CAST(split_part(x, '-', 2) AS BIGINT) AS "end" FROM (
+    SELECT *, unnest(string_split(regexp_extract(transcript_id, '[^.]*$'), ',')) AS x FROM (SELECT transcript_id, contig, strand FROM rna_models))""")
+TABLES["rna_gene_of"] = ("", """SELECT transcript_id, contig||'.'||strand||'.'||CAST(min(start) OVER (PARTITION BY contig, strand, island) AS STRING) AS gene_id FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY contig, strand ORDER BY start, "end", transcript_id ROWS UNBOUNDED PRECEDING) AS island FROM (
+      SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY contig, strand ORDER BY start, "end", transcript_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM rna_models))""")
+TABLES["rna_levels"] = ("", """SELECT t.sample, e.transcript_id, CAST((CAST(coalesce(n_frag, 0) AS HUGEINT) * 1000000000000) // (CAST(e.length AS HUGEINT) * total) AS BIGINT) AS milli_fpkm
+    FROM (SELECT transcript_id, CAST(sum("end" - start + 1) AS BIGINT) AS length FROM rna_model_exons GROUP BY ALL) e CROSS JOIN (SELECT sample, count(DISTINCT name) AS total FROM rna_blocks GROUP BY ALL) t
+    LEFT JOIN (SELECT h.sample, x.transcript_id, count(DISTINCT h.name) AS n_frag FROM rna_model_exons x JOIN rna_blocks h
+      ON h.contig = x.contig AND h.strand = x.strand AND h.start <= x."end" AND h."end" >= x.start GROUP BY ALL) f ON f.sample = t.sample AND f.transcript_id = e.transcript_id""")
+TABLES["study_amounts"] = ("", "SELECT gene_id, CASE WHEN sample IN ('1', '2') THEN 'T1' ELSE 'T2' END AS condition, CAST(sum(milli_fpkm) AS BIGINT) AS amount FROM rna_levels JOIN rna_gene_of USING (transcript_id) GROUP BY sample, gene_id")
+TABLES["study_tests"] = ("", TABLES["tests"][1].replace("test_amounts", "study_amounts"))
+TABLES["study_qvalues"] = ("", TABLES["qvalues"][1].replace("FROM tests", "FROM study_tests"))
+TABLES["study_exons"] = ("", 'SELECT transcript_id, contig, strand, start, "end" FROM rna_model_exons UNION ALL SELECT transcript_id, contig, strand, start, "end" FROM rna_ref_exons')
+TABLES["study_query_exons"] = ("", "SELECT * FROM study_exons WHERE transcript_id NOT LIKE 'R%'")
+TABLES["study_ref_exons"] = ("", "SELECT * FROM study_exons WHERE transcript_id LIKE 'R%'")
+for _t in ("chains", "junctions", "classes"):
+    TABLES[f"study_{_t}"] = ("", re.sub(r"\b(FROM|JOIN) (exons|chains|junctions|query_exons|ref_exons)\b", r"\1 study_\2", TABLES[_t][1]))
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table of ``sf_dir``."""
     if name in GIVEN:
@@ -223,13 +301,16 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sql(statement: str) -> str:
     """``statement`` for DuckDB, after the derived tables that it needs."""
     needed: dict[str, str] = {}
+    met: set[str] = set()
 
     def need(text: str) -> None:
         for name, entry in TABLES.items():
-            if name not in needed and re.search(rf"\b(FROM|JOIN) {name}\b|, {name}\b", text):
+            if name not in met and re.search(rf"\b(FROM|JOIN) {name}\b|, {name}\b", text):
+                met.add(name)
                 own = entry if isinstance(entry, str) else entry[1]
                 need(own)
                 needed[name] = own
 
     need(statement)
-    return ("WITH " + ",\n".join(f"{n} AS ({t})" for n, t in needed.items()) + "\n" if needed else "") + statement
+    recursive = any(re.search(rf"\bFROM {n}\b", t) for n, t in needed.items())
+    return (f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(f"{n} AS ({t})" for n, t in needed.items()) + "\n" if needed else "") + statement

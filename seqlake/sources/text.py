@@ -10,20 +10,21 @@ from ..functions.scalars import read_key
 GTF_COLUMNS = "contig STRING, source STRING, feature STRING, start BIGINT, `end` BIGINT, score STRING, strand STRING, frame STRING, attributes STRING"
 
 
-def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, idx, value): lines numbered from 0 in each file, however it was split.
+def numbered_lines(spark: SparkSession, paths: str | list[str], across: bool = False) -> DataFrame:
+    """(file, idx, value): lines numbered from 0 in each file, however it was split; ``across`` files in name order if so asked.
 
-    Lines are numbered within a split of the file by the order of reading, and
-    the lines of the file's earlier splits are added; a split is one task.
+    A split is read by one task in order, so its lines have consecutive
+    increasing ids. The lines themselves are not shuffled: only the first id and
+    the number of lines of each split are summed up and joined to them.
     """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"), "value"
     )
-    counts = lines.groupBy("file", "block").count()
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("file", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("m")) - 1
-    return lines.withColumn("i", within).join(offsets, ["file", "block"]).select("file", (F.col("i") + F.col("offset")).alias("idx"), "value")
+    splits = lines.groupBy("file", "block").agg(F.min("m").alias("first"), F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy("file", "block") if across else Window.partitionBy("file").orderBy("block")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each split
+    offsets = splits.select("file", "block", (before - F.col("first")).alias("offset"))
+    return lines.join(offsets, ["file", "block"]).select("file", (F.col("m") + F.col("offset")).alias("idx"), "value")
 
 
 def nline_chunks(lines: DataFrame, n: int = 1) -> DataFrame:
@@ -183,9 +184,17 @@ def vcf_lines(calls: DataFrame, contigs: DataFrame, sample: str = "sample") -> D
     return head.unionByName(lens).unionByName(names).unionByName(data)
 
 
+def sorted_lines(lines: DataFrame, order: list, path: str) -> None:
+    """Write ``lines(value, ...)`` in order: sorted by ranges, a file a range, whose names are in order too.
+
+    The files one after the other are the whole text; :func:`numbered_lines` numbers them ``across``.
+    """
+    lines.orderBy(*order).select("value").write.mode("errorifexists").text(path)
+
+
 def vcf_write(calls: DataFrame, contigs: DataFrame, path: str) -> None:
-    """One VCF file: as it is one file, its rendered lines are sorted and written by one task."""
-    vcf_lines(calls, contigs).orderBy("rank", "pos", "ref", "alt").select("value").coalesce(1).write.mode("errorifexists").text(path)
+    """A VCF as a folder of files in order, the first of them with the header; an existing path is an error."""
+    sorted_lines(vcf_lines(calls, contigs), ["rank", "pos", "ref", "alt"], path)
 
 
 def drop_header_lines(lines: DataFrame) -> DataFrame:

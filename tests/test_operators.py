@@ -162,6 +162,22 @@ def test_intersection_does_not_depend_on_bin_size(spark):
     assert one.exceptAll(other).count() == 0
 
 
+def test_nested_bins_give_each_pair_once_with_few_rows(spark):
+    r = random.Random(6)
+    lengths = [1, 2, 100, 255, 256, 257, 2048, 5000, 500_000, 3_000_000, 10**9]
+    rows = [("c" if i % 5 else "d", i, s := r.choice([r.randrange(4000), r.randrange(10**6), 256 * r.randrange(40)]), s + r.choice(lengths)) for i in range(400)]
+    rows += [("c", 900, 7, 7)]  # empty: overlaps nothing
+    a = spark.createDataFrame(rows[:200] + rows[400:], "contig string, a int, start0a long, end0a long")
+    b = spark.createDataFrame(rows[200:], "contig string, b int, start0b long, end0b long")
+    joined = intervals.nested_overlap_join(a, b, ["contig"])
+    got = sorted((x["a"], x["b"]) for x in joined.collect())
+    want = sorted((i, j) for c, i, s, e in rows[:200] for d, j, t, f in rows[200:] if c == d and max(s, t) < min(e, f))
+    assert got == want and "NestedLoop" not in plan(joined)
+    introns = spark.range(50).select(F.lit("c").alias("contig"), (F.col("id") * 1000).alias("start0b"), (F.col("id") * 1000 + 500_000).alias("end0b"))
+    spread = intervals.nested_overlap_join(introns.toDF("contig", "start0a", "end0a"), introns, ["contig"])
+    assert spread.count() == sum(abs(i - j) * 1000 < 500_000 for i in range(50) for j in range(50))
+
+
 def test_fastq_lines_are_numbered_however_files_are_split(spark, tmp_path):
     reads = frame(spark, DATA, "reads").where("mate = 1").select("name", F.lit("x y").alias("description"), "seq", "qual")
     text.fastq_lines(reads).coalesce(1).write.text(str(tmp_path / "fq"))
@@ -270,7 +286,7 @@ def test_fastq_in_one_vcf_with_genotypes_out(spark, tmp_path):
         own = reads.where(f"mate = {mate}").select(F.concat_ws("/", "name", "mate").alias("name"), F.lit("").alias("description"), "seq", "qual")
         text.fastq_lines(own).write.text(f"{tmp_path}/{mate}")
     pipelines.snp_file(spark, f"{tmp_path}/1", f"{tmp_path}/2", tiles, contigs, f"{tmp_path}/vcf")
-    lines = [r["value"] for r in text.numbered_lines(spark, f"{tmp_path}/vcf").orderBy("idx").collect()]
+    lines = [r["value"] for r in text.numbered_lines(spark, f"{tmp_path}/vcf", across=True).orderBy("idx").collect()]
     data = [x.split("\t") for x in lines if not x.startswith("#")]
     calls = {(r["contig"], r["pos"], r["alt"]): r["gt"] for r in variants.call_snps(align.align_reads(reads, tiles), tiles).collect()}
     assert {(x[0], int(x[1]), x[4]): x[9] for x in data} == calls and len(data) == len(calls) > 0
