@@ -355,6 +355,14 @@ def transcript_abundance(spark: SparkSession, d: str) -> DataFrame:
     return rnaseq.transcript_abundance(frame(spark, d, "rna_hits"), frame(spark, d, "exons"))
 
 
+@query("""SELECT sample, transcript_id, CAST(length AS BIGINT) AS length, coalesce(n_frag, 0) AS n_frag, coalesce(n_unique, 0) AS n_unique, CAST(amount AS BIGINT) AS micro_frag,
+      CAST(amount*1000000 // (length*total) AS BIGINT) AS milli_fpkm
+    FROM em_4 JOIN (SELECT sample, count(DISTINCT name) AS total FROM rna_hits GROUP BY ALL) t USING (sample)
+    LEFT JOIN (SELECT sample, transcript_id, CAST(sum(n) AS BIGINT) AS n_frag, CAST(sum(CASE WHEN transcripts = transcript_id THEN n ELSE 0 END) AS BIGINT) AS n_unique FROM em_members GROUP BY ALL) c USING (sample, transcript_id)""")
+def shared_abundance(spark: SparkSession, d: str) -> DataFrame:
+    return rnaseq.shared_abundance(frame(spark, d, "rna_hits"), frame(spark, d, "exons"))
+
+
 @query("SELECT gene_id, n0, n1, log2fc, stat, p FROM tests")
 def diff_expression(spark: SparkSession, d: str) -> DataFrame:
     return rnaseq.diff_expression(frame(spark, d, "gene_abundance"), "T1", "T2")

@@ -208,6 +208,18 @@ TABLES["locus_classes"] = ("", """SELECT locus, code, ref_transcript_id FROM (
       WHERE j.transcript_id IN (SELECT transcript_id FROM ref_exons))) WHERE first = 1""")
 
 
+# fragments shared out over the transcripts that they fit, in whole millionths
+TABLES["em_classes"] = ("", """SELECT sample, transcripts, count(*) AS n FROM (SELECT sample, name, string_agg(transcript_id, ',' ORDER BY transcript_id) AS transcripts FROM (
+    SELECT DISTINCT h.sample, h.name, x.transcript_id FROM exons x JOIN rna_hits h ON h.sample = x.sample AND h.contig = x.contig AND h.strand = x.strand AND h.start <= x."end" AND h."end" >= x.start)
+    GROUP BY ALL) GROUP BY ALL""")
+TABLES["em_members"] = ("", "SELECT sample, transcripts, n, unnest(string_split(transcripts, ',')) AS transcript_id FROM em_classes")
+TABLES["em_0"] = ("", 'SELECT sample, transcript_id, CAST(sum("end" - start + 1) AS HUGEINT) AS length, CAST(1000000 AS HUGEINT) AS amount FROM exons GROUP BY ALL')
+for _i in range(4):
+    TABLES[f"em_{_i + 1}"] = ("", f"""SELECT sample, transcript_id, length, coalesce(dealt, 0) AS amount FROM em_{_i} LEFT JOIN (
+        SELECT sample, transcript_id, CAST(sum(CASE WHEN total = 0 THEN n*1000000 // many ELSE CAST(n AS HUGEINT)*1000000*rate // total END) AS HUGEINT) AS dealt FROM (
+          SELECT *, CAST(sum(rate) OVER (PARTITION BY sample, transcripts) AS HUGEINT) AS total, count(*) OVER (PARTITION BY sample, transcripts) AS many
+          FROM em_members JOIN (SELECT sample, transcript_id, amount*1000000 // length AS rate FROM em_{_i}) USING (sample, transcript_id)) GROUP BY ALL) USING (sample, transcript_id)""")
+
 # a study from reads to compared genes: genes of three exons, each a tile, three tiles apart
 TABLES["rna_genes"] = """SELECT a.contig, a.tile, a.seq AS e1, b.seq AS e2, c.seq AS e3, CAST(substr(a.contig,4) AS BIGINT) + CAST(floor(a.tile/12) AS BIGINT) AS g
     FROM contig_tiles a JOIN contig_tiles b ON b.contig = a.contig AND b.tile = a.tile + 3 JOIN contig_tiles c ON c.contig = a.contig AND c.tile = a.tile + 6 WHERE a.tile % 12 = 0"""
