@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..operators import align, apply, intervals, jobs, recal, rnaseq, variants
 from ..plans import pipelines
-from ..sources import text
+from ..sources import fastq, text
 from ..sources.scratch import scratch, written
 from ..streaming import jobs as stream
 from .tables import frame, sql
@@ -71,6 +71,15 @@ def fastq_scan(spark: SparkSession, d: str) -> DataFrame:
     return text.fastq_scan(spark, [f"{path}/1", f"{path}/2"]).select("name", "description", "seq", "qual")
 
 
+@query("SELECT name||'/'||CAST(mate AS STRING) AS name, 'len=40' AS description, seq, '@'||substr(qual, 2) AS qual FROM reads")
+def fastq_records(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "fastq")
+    qual = F.concat(F.lit("@"), F.substring("qual", 2, 1 << 30))  # as a header begins
+    reads = _reads(spark, d).select(F.concat_ws("/", "name", "mate").alias("name"), F.lit("len=40").alias("description"), "seq", qual.alias("qual"))
+    text.fastq_lines(reads).write.text(path)
+    return fastq.fastq_records(spark, path, range_bytes=50_000).select("name", "description", "seq", "qual")
+
+
 @query("SELECT name, CAST(1 AS INT) AS n_reads, CAST(0 AS INT) AS mate, seq, qual FROM reads WHERE mate = 1")
 def single_reads(spark: SparkSession, d: str) -> DataFrame:
     one = text.single_reads(_reads(spark, d).where("mate = 1").withColumn("description", F.lit("")))

@@ -1,6 +1,8 @@
 """Truth, invariance, formats and plans of the sequencing operators."""
 
 import datetime
+import gzip
+import io
 import os
 import random
 
@@ -12,7 +14,7 @@ from seqlake.functions import scalars
 from seqlake.operators import align, intervals, jobs, recal, rnaseq, variants
 from seqlake.plans import pipelines
 from seqlake.registry.tables import frame
-from seqlake.sources import text
+from seqlake.sources import fastq, text
 from seqlake.streaming import jobs as stream
 
 DATA = "/root/testdata/sf0.001"
@@ -192,6 +194,34 @@ def test_fastq_lines_are_numbered_however_files_are_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("size", [1, 7, 50, 64, 1000, 1 << 20])
+def test_records_are_found_in_any_byte_range(size):
+    r = random.Random(size)
+    rows = [(f"@r{i} {'x' * (i % 5)}", "ACGT" * (i % 7 + 1), r.choice(["+", f"+r{i}"]), r.choice(["@@+I", "+@II", "IIII", "@+@+"]) * (i % 7 + 1)) for i in range(60)]
+    for end in ("\n", "\r\n"):
+        data = "".join(end.join(x) + end for x in rows).encode()
+        whole = list(fastq.records(io.BytesIO(data), 0, len(data)))
+        assert [tuple(x.decode() for x in lines) for _, lines in whole] == rows
+        assert [x for a in range(0, len(data), size) for x in fastq.records(io.BytesIO(data), a, a + size)] == whole
+
+
+def test_fastq_source_equals_the_scan_without_a_shuffle(spark, tmp_path):
+    reads = [(f"r{i} some  text " if i % 3 else f"r{i}", "ACGTN"[: i % 6], ("@" + "I" * 5)[: i % 6 if i % 10 else 2]) for i in range(3000)]
+    body = "".join(f"@{h}\n{s}\n+\n{q}\n" for h, s, q in reads)
+    (tmp_path / "a.fq").write_text(body)
+    (tmp_path / "_hidden").write_text("@x\n")
+    with gzip.open(tmp_path / "b.fq.gz", "wt") as f:
+        f.write(body)
+    columns = ["name", "description", "seq", "qual"]
+    want = sorted(map(tuple, text.fastq_scan(spark, str(tmp_path)).select(columns).collect()))
+    for size in (997, 1 << 20):
+        got = fastq.fastq_records(spark, str(tmp_path), range_bytes=size)
+        assert sorted(map(tuple, got.select(columns).collect())) == want and "Exchange" not in plan(got)
+    assert fastq.fastq_records(spark, f"file://{tmp_path}/a.fq").rdd.getNumPartitions() >= 1
+    with pytest.raises(Exception, match="bad FASTQ record"):
+        fastq.fastq_records(spark, str(tmp_path), strict=True).collect()
+
+
 def test_bad_fastq_records(spark, tmp_path):
     (tmp_path / "x.fq").write_text("@a 1\nACGT\n+\nIIII\nb\nACGT\n+\nIIII\n@c\nACG\n+\nIIII\n@d\nA\n-\nI\n")
     assert [r["name"] for r in text.fastq_scan(spark, str(tmp_path)).collect()] == ["a"]
