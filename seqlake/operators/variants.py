@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import natural_key, phred
@@ -57,6 +57,46 @@ def genome_bins(df: DataFrame, size: int = 1_000_000, partitions: int | None = N
     return binned.repartitionByRange(partitions, "contig", "bin") if partitions else binned.repartitionByRange("contig", "bin")
 
 
+def load_bins(df: DataFrame, rows_per_bin: int, grid: int = 1024) -> DataFrame:
+    """(contig, bin, low, high): stretches of each contig with about ``rows_per_bin`` rows of ``df(contig, pos, ...)``.
+
+    Ends come from a quantile sketch of the positions, of ``grid`` quantiles a
+    contig, of which every so many are taken; so a deep locus is cut more finely,
+    and a contig has at most ``grid`` bins. Positions are not cut: all rows of one are in one bin.
+    Stretches follow each other from 1 to the last one's open end.
+    """
+    quantiles = F.percentile_approx("pos", [i / grid for i in range(1, grid)], 20 * grid).alias("q")
+    contigs = df.where("contig is not null and pos is not null").groupBy("contig").agg(F.count(F.lit(1)).alias("n"), quantiles)
+    step = F.greatest(F.lit(1), F.round(F.lit(grid) * rows_per_bin / F.col("n"))).cast("int")
+    ends = F.array_distinct(F.filter("q", lambda x, i: (i + 1) % F.col("step") == 0))
+    contigs = contigs.withColumn("step", step).select("contig", ends.cast("array<bigint>").alias("ends"))
+    lows = F.concat(F.array(F.lit(1).cast("bigint")), F.transform("ends", lambda x: x + 1))
+    highs = F.concat("ends", F.array(F.lit((1 << 62) - 1)))
+    rows = contigs.select("contig", F.posexplode(F.arrays_zip(lows.alias("low"), highs.alias("high"))).alias("bin", "s"))
+    return rows.select("contig", F.col("bin").cast("bigint").alias("bin"), "s.low", "s.high")
+
+
+def in_load_bins(df: DataFrame, bins: DataFrame, pad: int = 0) -> DataFrame:
+    """``df(contig, pos, ...)`` once for each of :func:`load_bins` within ``pad`` of a row: plus _bin, _low and _high.
+
+    A contig's bins, of which there are no more than the grid has quantiles, come to its rows as one array, in which a place is found by halving.
+    """
+    ranges = bins.groupBy("contig").agg(F.array_sort(F.collect_list(F.struct("bin", "low", "high"))).alias("_bins"))  # a row a contig
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size("_bins") + 1.0)).cast("int"))
+
+    def bin_of(pos: Column) -> Column:
+        def half(at: Column, _: Column) -> Column:
+            middle = F.floor((at["a"] + at["b"]) / 2).cast("int")
+            later = pos > F.get("_bins", middle)["high"]
+            return F.struct(F.when(later, middle + 1).otherwise(at["a"]).alias("a"), F.when(later, at["b"]).otherwise(middle).alias("b"))
+
+        return F.aggregate(steps, F.struct(F.lit(0).alias("a"), (F.size("_bins") - 1).alias("b")), half, lambda at: at["a"])
+
+    low, high = (bin_of(F.greatest(F.col("pos") + d, F.lit(1))) for d in (-pad, pad))
+    spread = df.join(ranges, "contig").withColumn("_at", F.explode(F.transform(F.sequence(low, high), lambda i: F.get("_bins", i))))
+    return spread.select(*df.columns, F.col("_at.bin").alias("_bin"), F.col("_at.low").alias("_low"), F.col("_at.high").alias("_high"))
+
+
 def union_shards(*shards: DataFrame) -> DataFrame:
     """All rows of all shards, duplicates too."""
     out = shards[0]

@@ -539,6 +539,21 @@ def apply_per_bin(spark: SparkSession, d: str) -> DataFrame:
     return apply.apply_per_bin(frame(spark, d, "known_sites"), _neighbours, "contig string, pos long, near long", BIN, 100)
 
 
+@query("SELECT a.contig, a.pos, count(*) AS near FROM known_sites a JOIN known_sites b ON a.contig = b.contig AND abs(a.pos - b.pos) <= 100 GROUP BY a.contig, a.pos")
+def apply_per_load(spark: SparkSession, d: str) -> DataFrame:
+    return apply.apply_per_load(frame(spark, d, "known_sites"), _neighbours, "contig string, pos long, near long", 3, 100)
+
+
+@query("""SELECT contig, count(*) AS n, CAST(ceil(count(*) / 50.0) AS BIGINT) AS fair, true AS level FROM (
+    SELECT contig, pos FROM ref_bases UNION ALL SELECT contig, pos FROM ref_bases, (SELECT unnest(range(20))) WHERE pos BETWEEN 65 AND 96) GROUP BY contig""")
+def load_bins(spark: SparkSession, d: str) -> DataFrame:
+    """Bins of a genome with one locus of twenty times the depth: none has over twice the wanted rows."""
+    bases = frame(spark, d, "ref_bases").select("contig", "pos")
+    deep = bases.unionByName(bases.where("pos between 65 and 96").crossJoin(spark.range(20).drop("id")))
+    sizes = variants.in_load_bins(deep, variants.load_bins(deep, 50)).groupBy("contig", "_bin").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("contig").agg(F.sum("n").alias("n"), F.ceil(F.sum("n") / 50).alias("fair"), (F.max("n") <= 100).alias("level"))
+
+
 def _composition(reads: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": reads["name"], "mate": reads["mate"], "gc": reads["seq"].str.count("[GC]").astype("int32")})
 

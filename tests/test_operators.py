@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from seqlake.functions import scalars
-from seqlake.operators import align, intervals, jobs, recal, rnaseq, variants
+from seqlake.operators import align, apply, intervals, jobs, recal, rnaseq, variants
 from seqlake.plans import pipelines
 from seqlake.registry.tables import frame
 from seqlake.sources import fastq, text
@@ -164,6 +164,27 @@ def test_intersection_does_not_depend_on_bin_size(spark):
     assert one.exceptAll(other).count() == 0
 
 
+def test_bins_of_equal_load_split_a_deep_locus(spark):
+    r = random.Random(8)
+    spots = [("c", p) for p in range(1, 20_001, 20)] + [("c", r.randrange(5000, 5200)) for _ in range(3000)] + [("d", 7)] * 40
+    df = spark.createDataFrame(spots, "contig string, pos long")
+    bins = variants.load_bins(df, 100).collect()
+    sizes = [sum(b["low"] <= p <= b["high"] for c, p in spots if c == b["contig"]) for b in bins]
+    own = sorted(n for n, b in zip(sizes, bins, strict=True) if b["contig"] == "c")
+    assert sum(sizes) == len(spots) and own[-1] <= 2 * own[len(own) // 2]
+    seen = apply.apply_per_load(df, lambda rows: rows.assign(n=len(rows)), "contig string, pos long, n long", 100, 30).collect()
+    assert sorted((x["contig"], x["pos"]) for x in seen) == sorted(spots)
+
+    def neighbours(rows):
+        rows = rows.sort_values("pos")
+        at = rows["pos"].to_numpy()
+        return rows.assign(near=at.searchsorted(at + 30, "right") - at.searchsorted(at - 30, "left"))[["contig", "pos", "near"]]
+
+    near = apply.apply_per_load(df, neighbours, "contig string, pos long, near long", 100, 30).collect()
+    want = sorted((c, p, sum(d == c and abs(q - p) <= 30 for d, q in spots)) for c, p in spots if p % 7 == 0)
+    assert sorted(tuple(x) for x in near if x["pos"] % 7 == 0) == want
+
+
 def test_nested_bins_give_each_pair_once_with_few_rows(spark):
     r = random.Random(6)
     lengths = [1, 2, 100, 255, 256, 257, 2048, 5000, 500_000, 3_000_000, 10**9]
