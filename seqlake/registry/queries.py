@@ -527,6 +527,16 @@ def job_status_stream(spark: SparkSession, d: str) -> DataFrame:
     return stream.read_status(spark, out)
 
 
+@query("SELECT job_id, username, running_state, progress, complete, event_id FROM latest")
+def ending_status_stream(spark: SparkSession, d: str) -> DataFrame:
+    source, out, state = (scratch(spark, x) for x in ("events", "status", "state"))
+    frame(spark, d, "job_events").repartition(4).write.parquet(source)
+    events = stream.read_events(spark, source, files_a_batch=2)
+    stream.run_to_table(stream.ending_status_stream(events), out, state).awaitTermination()
+    stream.compact(spark, out)
+    return stream.read_status(spark, out)
+
+
 def _neighbours(rows: pd.DataFrame) -> pd.DataFrame:
     """For each position, how many rows lie within 100 of it."""
     rows = rows.sort_values("pos")

@@ -385,3 +385,32 @@ def test_job_states_of_later_batches_replace_earlier_ones(spark, tmp_path):
         spark.createDataFrame(events, columns).write.mode("append").parquet(source)
         stream.run_to_table(stream.job_status_stream(stream.read_events(spark, source)), out, state).awaitTermination()
     assert {(r.job_id, r.running_state, r.event_id) for r in stream.read_status(spark, out).collect()} == {("a", 2, 3), ("b", 1, 2)}
+
+
+def test_states_of_ended_jobs_go_and_restarts_change_nothing(spark, tmp_path):
+    columns = "event_id long, job_id string, username string, running_state int, map_progress double, ts timestamp_ntz"
+    batches = [
+        [(1, "a", 1, 1), (2, "b", 1, 1), (3, "c", 1, 1)],
+        [(4, "a", 2, 2), (5, "b", 3, 2), (4, "a", 2, 2)],
+        [(6, "c", 2, 4), (2, "b", 1, 1), (7, "d", 1, 40)],  # d comes long after the others have ended
+        [(8, "d", 5, 41), (9, "a", 1, 42), (10, "z", 2, 90)],  # a starts again
+    ]
+    for at_once in (True, False):
+        source, out, state = (f"file://{tmp_path}/{at_once}/{x}" for x in ("events", "out", "state"))
+        sizes = []
+        for i, rows in enumerate(batches):
+            events = [(e, job, "u", s, 0.5, datetime.datetime(2024, 1, 1) + datetime.timedelta(days=d)) for e, job, s, d in rows]
+            spark.createDataFrame(events, columns).coalesce(1).write.mode("append").parquet(source)
+            if not at_once or i == len(batches) - 1:
+                query = stream.run_to_table(stream.ending_status_stream(stream.read_events(spark, source, 1), "2 days"), out, state)
+                query.awaitTermination()
+                sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        want = {("a", 1, 9), ("b", 3, 5), ("c", 2, 6), ("d", 5, 8), ("z", 2, 10)}
+        assert {(r.job_id, r.running_state, r.event_id) for r in stream.read_status(spark, out).collect()} == want
+        stream.compact(spark, out)
+        stream.compact(spark, out)
+        assert {(r.job_id, r.running_state, r.event_id) for r in stream.read_status(spark, out).collect()} == want
+        assert len([p for p in os.listdir(out.removeprefix("file://")) if p.startswith("batch=")]) == 1
+        if not at_once:
+            kept = spark.read.format("statestore").option("stateVarName", "last").load(state).select("key.job_id")
+            assert {r[0] for r in kept.collect()} == {"a", "z"}, sizes
