@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import scratch
+
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 SNP = "CASE WHEN pos % 97 = 0 THEN translate(base,'ACGT','CGTA') ELSE base END"
 PLACED = "SELECT o_orderkey AS o, contig, (o_orderkey*7919) % (len-150) AS st, seq FROM orders JOIN sample_contigs ON contig='chr'||CAST(o_custkey % 25 AS STRING)"
@@ -298,16 +300,30 @@ for _t in ("chains", "junctions", "classes"):
     TABLES[f"study_{_t}"] = ("", re.sub(r"\b(FROM|JOIN) (exons|chains|junctions|query_exons|ref_exons)\b", r"\1 study_\2", TABLES[_t][1]))
 
 
+#: Derived tables that many queries read, several times each: written once a session, as a user's own would be.
+STORED = ("placed_reads", "worn_reads", "exons", "rna_reads", "sample_contigs")
+_paths: dict[tuple[str, str, str], str] = {}
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table of ``sf_dir``."""
     if name in GIVEN:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _paths:
+        return spark.read.parquet(_paths[key])
     entry = TABLES[name]
     text = (entry if isinstance(entry, str) else entry[0]).replace('"end"', "`end`")
     used = [t for t in (*GIVEN, *TABLES) if re.search(rf"(FROM|JOIN) {t}\b", text)]
     for t in used:
         text = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
-    return spark.sql(text, **{t: frame(spark, sf_dir, t) for t in used})
+    df = spark.sql(text, **{t: frame(spark, sf_dir, t) for t in used})
+    if name in STORED:
+        path = scratch(spark, name)
+        df.write.parquet(path)
+        _paths[key] = path
+        return spark.read.parquet(path)
+    return df
 
 
 def sql(statement: str) -> str:
