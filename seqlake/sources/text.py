@@ -23,7 +23,7 @@ def numbered_lines(spark: SparkSession, paths: str | list[str], across: bool = F
     splits = lines.groupBy("file", "block").agg(F.min("m").alias("first"), F.count(F.lit(1)).alias("n"))
     order = Window.orderBy("file", "block") if across else Window.partitionBy("file").orderBy("block")
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each split
-    offsets = splits.select("file", "block", (before - F.col("first")).alias("offset"))
+    offsets = F.broadcast(splits.select("file", "block", (before - F.col("first")).alias("offset")))  # bounded by the files' size: some 100 bytes for each split
     return lines.join(offsets, ["file", "block"]).select("file", (F.col("m") + F.col("offset")).alias("idx"), "value")
 
 
