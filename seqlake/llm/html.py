@@ -63,7 +63,7 @@ COMPARABLE = 0.4  # of the core's density, for the densest block of text beside
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'])*)(?:>|\Z)",
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -108,50 +108,42 @@ def _pruned(tag: str, attributes: str) -> tuple[bool, bool]:
 
 def parse(html: str) -> Node:
     """The tree of a page. Only nesting rules that move text between blocks are applied."""
-    root = top = Node("html", None, False)
-    at, length = 0, len(html)
+    tree = _Open(Node("html", None, False))
+    root, at, length = tree.top, 0, len(html)
     while at < length:
         match = MARKUP.search(html, at)
         if match is None:
-            top.items.append(html[at:])
+            tree.top.items.append(html[at:])
             break
         if match.start() > at:
-            top.items.append(html[at : match.start()])
+            tree.top.items.append(html[at : match.start()])
         at = match.end()
         if match[1]:  # an end tag closes its element if that is open in the same block
             tag = match[1].lower()
-            if tag in ("html", "body"):  # what follows is in the body too
-                continue
-            node = top
-            while node is not None and node.tag != tag:
-                if tag not in BLOCK and node.tag in BLOCK:
-                    node = None  # an inline end tag does not close blocks
-                    break
-                node = node.parent
-            if node is not None and node.parent is not None:
-                top = node.parent
+            if tag not in ("html", "body"):  # what follows these is in the body too
+                tree.end(tag)
             continue
         if not match[2]:
             continue
         tag, attributes = match[2].lower(), match[3]
-        if tag in ("html", "body") and tag != "body":
+        if tag == "html":
             continue
         if tag in CLOSES_P:
-            _, top = _close(top, ("p",), ("table", "button", "td", "th"))
+            tree.close(("p",), ("table", "button", "td", "th"))
         if tag == "li":
-            _, top = _close(top, ("li",), ("ul", "ol", "menu"))
+            tree.close(("li",), ("ul", "ol", "menu"))
         elif tag in ("dd", "dt"):
-            _, top = _close(top, ("dd", "dt"), ("dl",))
+            tree.close(("dd", "dt"), ("dl",))
         elif tag in ("td", "th"):
-            _, top = _close(top, ("td", "th"), ("tr", "table"))
+            tree.close(("td", "th"), ("tr", "table"))
         elif tag == "tr":
-            _, top = _close(top, ("tr",), ("table",))
+            tree.close(("tr",), ("table",))
         elif tag == "option":
-            _, top = _close(top, ("option",), ("select",))
+            tree.close(("option",), ("select",))
         elif tag == "body":
-            _, top = _close(top, ("head",), ())
-        node = Node(tag, top, *_pruned(tag, attributes))
-        top.items.append(node)
+            tree.close(("head",), ())
+        node = Node(tag, tree.top, *_pruned(tag, attributes))
+        tree.top.items.append(node)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
             continue
         if tag in RAW:
@@ -161,17 +153,47 @@ def parse(html: str) -> Node:
             close = html.find(">", stop) if end else -1
             at = close + 1 if close >= 0 else length
             continue
-        top = node
+        tree.open(node)
     return root
 
 
-def _close(top: Node, tags: tuple[str, ...], barriers: tuple[str, ...]) -> tuple[bool, Node]:
-    node = top
-    while node is not None and node.tag not in barriers:
-        if node.tag in tags and node.parent is not None:
-            return True, node.parent
-        node = node.parent
-    return False, top
+class _Open:
+    """The open elements and how many there are of each tag, so that none is looked for that is not there."""
+
+    def __init__(self, root: Node):
+        self.top, self.counts = root, {}
+
+    def open(self, node: Node) -> None:
+        self.top = node
+        self.counts[node.tag] = self.counts.get(node.tag, 0) + 1
+
+    def _pop(self, node: Node) -> None:
+        """Close ``node`` and what is open in it."""
+        parent = node.parent
+        while self.top is not parent:
+            self.counts[self.top.tag] -= 1
+            self.top = self.top.parent
+
+    def close(self, tags: tuple[str, ...], barriers: tuple[str, ...]) -> None:
+        """Close the innermost of ``tags`` that is open within the nearest of ``barriers``."""
+        if not any(map(self.counts.get, tags)):
+            return
+        node = self.top
+        while node.parent is not None and node.tag not in barriers:
+            if node.tag in tags:
+                self._pop(node)
+                return
+            node = node.parent
+
+    def end(self, tag: str) -> None:
+        if not self.counts.get(tag):
+            return
+        node = self.top
+        while node.tag != tag:
+            if tag not in BLOCK and node.tag in BLOCK:
+                return  # an inline end tag does not close blocks
+            node = node.parent
+        self._pop(node)
 
 
 def _order(root: Node, soft: bool = False) -> list[Node]:
@@ -313,11 +335,16 @@ def article(root: Node) -> list[Node]:
             if part is not node and part.density >= threshold and part.peak >= enough:
                 found.append(max((n for n in _order(part) if n.block), key=lambda n: n.total))
     marks: list[Node] = []
+    inside: set[int] = set()  # marks and what is in them
     for node in order:  # the outermost ones
-        if node.tag in MARKS and node.chars and not any(n.tag in MARKS for n in _path(node)[1:]):
-            marks.append(node)
-    around = {id(n) for n in _path(core)}
-    if marks and (any(id(n) in around for n in marks) or any(core in _path(n) for n in marks) and 2 * sum(n.chars for n in marks) >= sum(n.chars for n in found)):
+        if id(node.parent) in inside:
+            inside.add(id(node))
+        elif node.tag in MARKS:
+            inside.add(id(node))
+            if node.chars:
+                marks.append(node)
+    around, below = {id(n) for n in _path(core)}, {id(n) for n in _order(core)}
+    if marks and (any(id(n) in around for n in marks) or any(id(n) in below for n in marks) and 2 * sum(n.chars for n in marks) >= sum(n.chars for n in found)):
         return marks
     at = {id(n): i for i, n in enumerate(order)}
     return sorted(found, key=lambda n: at[id(n)])

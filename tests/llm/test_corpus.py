@@ -374,6 +374,24 @@ def test_html_wrappers_named_after_what_is_beside_them(name):
     assert html.main_text(f'<body><div class="cookie-notice"><p>{prose(20, 9)}</p></div><div>{PARAGRAPHS}</div></body>') == "\n".join(PARTS)
 
 
+def test_html_signs_in_quoted_attributes():
+    page = "<body><div><p title='x > y' data-a=\"<b>\">" + "Hello <a title=\"a > b\" href=\"x\">link</a> rest of it. " * 20 + "</p></div></body>"
+    assert html.main_text(page) == " ".join(["Hello link rest of it."] * 20)
+    assert html.main_text("<body><p data-x=a=b c = 'd'>Some words here</p><p class=\"open>never closed</p></body>").startswith("Some words here")
+
+
+@pytest.mark.parametrize("part", ["<div>{}</div>", "<div>", "<article>{}</article>", "<article>", "<p><b>", "<li><ul>", "<span></i>", "<table><tr><td>", "<dl><dd>"])
+def test_html_depth_costs_linear_time(part):
+    import time
+
+    n = 50_000 if "{" in part else 100_000
+    opened, _, closed = part.partition("{}")
+    page = "<body>" + opened * n + "Some words of an article that is very deep." + closed * n + "</body>"
+    began = time.process_time()
+    assert "very deep" in html.main_text(page)
+    assert time.process_time() - began < 12  # a tree that climbs to its root for each tag takes minutes
+
+
 def test_html_several_articles_in_page_order():
     page = f"<div>{LINKS}</div><article><p>{PARTS[0]}<p>{PARTS[1]}</article><article><p>{PARTS[2]}<p>{PARTS[3]}<p>{PARTS[4]}</article>"
     assert html.main_text(f"<body>{page}</body>") == "\n".join(PARTS)
