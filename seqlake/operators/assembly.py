@@ -2,13 +2,14 @@
 
 Reads are counted by Spark into a graph: covered blocks, cut where supported
 junctions begin or end, are nodes; junctions and direct neighbourhood are edges.
-What one task gets is the graph of one locus, whose size is bounded by its
+What one call gets are the graphs of a few loci, whose size is bounded by their
 bases and junctions, however many reads there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,6 +20,7 @@ from .intervals import overlap_join
 from .rnaseq import assemble_islands
 
 PLACE = ("sample", "contig", "strand")
+LOCI = 64  # neighbouring loci that one call gets
 
 
 def place_rna_reads(reads: DataFrame, tiles: DataFrame, **options) -> DataFrame:
@@ -131,15 +133,19 @@ def assemble_transcripts(placed: DataFrame, min_support: int = 2, size: int = 10
     located = overlap_join(parts.withColumns({"start0a": F.col("start") - 1, "end0a": F.col("start")}), loci, PLACE, size)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        nodes, junctions = (list(rows.loc[rows["node"] == kind, ["start", "end", "w"]].itertuples(index=False, name=None)) for kind in (True, False))
         out = []
-        for exons in heaviest_paths(nodes, junctions):
-            name = ".".join((*key[:3], ",".join(f"{a}-{b}" for a, b in exons)))
-            out += [(*key[:3], name, n, a, b) for n, (a, b) in enumerate(exons, 1)]
+        parts = sorted(rows[["island", "node", "start", "end", "w"]].itertuples(index=False, name=None))
+        for _, locus in groupby(parts, key=lambda r: r[0]):
+            nodes, junctions = [], []
+            for _, node, *part in locus:
+                (nodes if node else junctions).append(tuple(part))
+            for exons in heaviest_paths(nodes, junctions):
+                name = ".".join((*key[:3], ",".join(f"{a}-{b}" for a, b in exons)))
+                out += [(*key[:3], name, n, a, b) for n, (a, b) in enumerate(exons, 1)]
         return pd.DataFrame(out, columns=[*PLACE, "transcript_id", "exon_number", "start", "end"])
 
-    located = located.select(*PLACE, "island", "node", "start", "end", "w")
-    return located.groupBy(*PLACE, "island").applyInPandas(run, "sample string, contig string, strand string, transcript_id string, exon_number int, start long, end long")
+    located = located.select(*PLACE, F.floor(F.col("island") / LOCI).alias("some"), "island", "node", "start", "end", "w")
+    return located.groupBy(*PLACE, "some").applyInPandas(run, "sample string, contig string, strand string, transcript_id string, exon_number int, start long, end long")
 
 
 def merge_assemblies(exons: DataFrame) -> DataFrame:
