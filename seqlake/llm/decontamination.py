@@ -1,11 +1,12 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
 An item's windows are its runs of ``size`` words. A window occurs in a document
-only if all its word shingles do, so it is enough to look up one of them: the
-rarest in the documents, by counts over all of them. Places of that shingle,
-shifted to the window's start and bounded by the document's length, are the
-candidates; a candidate is verified by all its shingles at their places, which
-makes the containment exact, word by word.
+only if all its word shingles do, so one of them is its necessary prefix: the
+rarest, by a sketch of the word counts of all documents (a shingle is at most as
+frequent as its rarest word). Only prefixes are joined with the documents, one
+row a window. Their places, shifted to the window's start and bounded by the
+document's length, are the candidates; each is verified against the document's
+own words, of which only those of documents with a candidate travel, in chunks.
 
 Edge cases: null text has no words and no windows; rows of equal id and text
 share one result; repeated items count once by their id; an empty table of
@@ -16,13 +17,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, join_small
-from .words import by_key, grams, keyed, words_of
+from .words import by_key, keyed, words_of
 
 SHINGLE = 4
+CELLS = 1 << 18  # counters of the sketch of word counts, whatever the size of the documents
+CHUNK = 512  # words of a document that meet its candidates in one row
+BROADCAST_ROWS = 200_000  # windows or keys of documents that may be broadcast
+SALTS = 32  # tasks among which the places of one prefix are dealt beyond that
 
 
 def windows_of(items: DataFrame, size: int) -> DataFrame:
@@ -33,8 +38,42 @@ def windows_of(items: DataFrame, size: int) -> DataFrame:
     return words.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, size))).alias("window")).distinct()
 
 
-def _gram(df: DataFrame, size: int) -> DataFrame:
-    return df.withColumn("g", F.xxhash64(*(f"w{i}" for i in range(size))))
+def _gram(words: Column, size: int) -> Column:
+    """Hashes of the runs of ``size`` words, one at every position that has one."""
+    hashes = F.transform(words, lambda x, i: F.xxhash64(x, *(F.get(words, i + j) for j in range(1, size))))
+    return F.slice(hashes, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+
+
+def _cell(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(CELLS))
+
+
+def prefixes(windows: DataFrame, docs: DataFrame) -> DataFrame:
+    """(wid, window, len, s, at, g) of ``windows(wid, window, len)``: place, length and hash of each one's rarest shingle."""
+    sketch = cut(docs.select(F.explode("words").alias("word")).groupBy(_cell(F.col("word")).alias("cell")).agg(F.count(F.lit(1)).alias("n")), "rarity")
+    words = windows.select("wid", F.posexplode("window").alias("i", "word")).withColumn("cell", _cell(F.col("word")))
+    words = words.join(F.broadcast(sketch), "cell", "left")  # CELLS rows at most
+    counts = words.groupBy("wid").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("n", F.lit(0)).alias("n")))).alias("c"))
+    s = F.least("len", F.lit(SHINGLE))
+
+    def rank(at: Column) -> Column:
+        own = F.slice("c.n", at + 1, s)
+        return F.struct(F.array_min(own).alias("rarest"), F.aggregate(own, F.lit(0).cast("long"), lambda x, y: x + y).alias("total"), at.alias("at"))
+
+    first = F.array_min(F.transform(F.sequence(F.lit(0), F.col("len") - s), rank))
+    found = windows.join(counts, "wid").select("wid", "window", "len", s.alias("s"), first["at"].alias("at"))
+    grams = F.when(F.col("s") == SHINGLE, _gram(F.col("window"), SHINGLE))
+    for size in range(1, SHINGLE):
+        grams = grams.when(F.col("s") == size, _gram(F.col("window"), size))
+    return found.withColumn("g", F.get(grams, F.col("at")))
+
+
+def _at_prefixes(places: DataFrame, prefix: DataFrame, rows: int) -> DataFrame:
+    """``places`` joined with ``prefix`` on g; beyond the broadcast, the places of one prefix are dealt to SALTS tasks."""
+    if rows <= BROADCAST_ROWS:
+        return places.join(F.broadcast(prefix), "g")
+    places = places.withColumn("salt", F.pmod("pos", F.lit(SALTS)))
+    return places.join(prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"]).drop("salt")
 
 
 def occurrences(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
@@ -44,52 +83,27 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
         found.groupBy("window").agg(F.collect_set("item_id").alias("items")).withColumn("wid", F.monotonically_increasing_id()), "windows"
     ).withColumn("len", F.size("window"))
     n_windows = windows.count()
-    sizes = [r[0] for r in windows.select(F.least("len", F.lit(SHINGLE)).alias("s")).distinct().collect()]  # at most SHINGLE numbers
+    sizes = sorted(r[0] for r in windows.select(F.least("len", F.lit(SHINGLE)).alias("s")).distinct().collect())  # at most SHINGLE numbers
     if not sizes:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, h bigint, start int, len int, item_id string")
 
-    # shingles of the windows: (s, gid, t0.., wid, at); of the documents: (s, gid, doc, pos)
-    shingles, places = [], []
-    for s in sorted(sizes):
-        own = windows.where(F.least("len", F.lit(SHINGLE)) == s)
-        rows = _gram(grams(own.select("wid", F.col("window").alias("words")), s, position="at"), s)
-        words = [f"w{i}" for i in range(s)]
-        known = rows.select("g", *words).distinct().withColumnsRenamed({w: f"t{w}" for w in words} | {"g": "tg"})
-        gid = F.concat_ws(" ", *words)
-        shingles.append(rows.select("wid", "at", gid.alias("gid")))
-        here = _gram(grams(docs.select("doc_id", "h", F.size("words").alias("n_words"), "words"), s), s)
-        same = [F.col("g") == F.col("tg")] + [F.col(w) == F.col(f"t{w}") for w in words]
-        places.append(join_small(here, known, same, "left_semi", size * n_windows).select("doc_id", "h", "n_words", "pos", gid.alias("gid")))
-    shingles = cut(reduce(DataFrame.unionByName, shingles), "shingles")
-    places = cut(reduce(DataFrame.unionByName, places).distinct(), "places")
-
-    # order by rarity over all documents; the first shingle of each window is its prefix
-    rarity = places.groupBy("gid").count()
-    prefix = (
-        shingles.join(rarity, "gid")
-        .groupBy("wid")
-        .agg(F.min_by(F.struct("gid", "at"), F.struct("count", "gid", "at")).alias("p"))
-        .join(windows.select("wid", "len"), "wid")
-        .select("wid", "len", "p.gid", "p.at")
-    )
+    prefix = cut(prefixes(windows.drop("items"), docs), "prefixes")
+    candidates = []
+    for s in sizes:
+        places = docs.select("doc_id", "h", F.size("words").alias("n_words"), F.posexplode(_gram(F.col("words"), s)).alias("pos", "g"))
+        candidates.append(_at_prefixes(places, prefix.where(F.col("s") == s).drop("s"), n_windows))
     start = F.col("pos") - F.col("at")
-    candidates = (
-        join_small(places, prefix, "gid", "inner", n_windows)
-        .where((start >= 0) & (start + F.col("len") <= F.col("n_words")))
-        .select("doc_id", "h", start.alias("start"), "wid", "len")
-    )
-    needed = shingles.groupBy("wid").agg(F.collect_list(F.struct("at", "gid")).alias("needed"))
-    wanted = join_small(candidates, needed, "wid", "inner", n_windows).select(
-        "doc_id", "h", "start", "wid", "len", F.size("needed").alias("n"), F.inline("needed")
-    )
-    wanted = wanted.withColumn("pos", F.col("start") + F.col("at"))
-    have = places.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("pos").alias("_p"), F.col("gid").alias("_g"))
-    exact = (
-        wanted.join(have, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")) & (F.col("pos") == F.col("_p")) & (F.col("gid") == F.col("_g")))
-        .groupBy("doc_id", "h", "start", "wid", "len", "n")
-        .count()
-        .where(F.col("count") == F.col("n"))
-    )
+    candidates = reduce(DataFrame.unionByName, candidates).where((start >= 0) & (start + F.col("len") <= F.col("n_words")))
+    candidates = cut(candidates.select("doc_id", "h", start.alias("start"), "len", "wid", "window"), "candidates")
+
+    # verified word by word: the chunks of documents that have a candidate, each reaching a window into the next
+    keys = cut(candidates.select("doc_id", "h").distinct(), "keys")
+    own = by_key(docs, F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "left_semi")
+    firsts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(CHUNK))
+    chunks = own.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.posexplode(F.transform(firsts, lambda i: F.slice("words", i + 1, CHUNK + size))).alias("_c", "chunk"))
+    here = F.col("start") % CHUNK
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")) & (F.floor(F.col("start") / CHUNK) == F.col("_c"))
+    exact = candidates.join(chunks, same & (F.slice("chunk", here + 1, F.col("len")) == F.col("window")), "left_semi").select("doc_id", "h", "start", "len", "wid").distinct()
     return join_small(exact, windows.select("wid", "items"), "wid", "inner", n_windows).select(
         "doc_id", "h", "start", "len", F.explode("items").alias("item_id")
     )

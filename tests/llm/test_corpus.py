@@ -168,6 +168,30 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.scan(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_joins_one_shingle_a_window(spark, docs):
+    bench = spark.createDataFrame([(1, ITEM), (2, "école K"), (3, prose(30, 77))], "item_id long, text string")
+    found = decontamination.windows_of(bench, 10).select("window").distinct().withColumn("wid", F.monotonically_increasing_id()).withColumn("len", F.size("window"))
+    texts = docs.select(decontamination.words_of(F.col("text")).alias("words"))
+    rows = decontamination.prefixes(found, texts).collect()
+    assert len(rows) == len({r.wid for r in rows}) == found.count()
+    cell = {r.w: r.c for r in texts.select(F.explode("words").alias("w")).unionByName(found.select(F.explode("window").alias("w"))).distinct().select("w", decontamination._cell(F.col("w")).alias("c")).collect()}
+    known = collections.Counter(cell[w] for r in texts.collect() for w in r.words)
+    for r in rows:  # the rarest shingle by the counts of cells, which are at least those of their words
+        rarity = [min(known[cell[w]] for w in r.window[j : j + r.s]) for j in range(r.len - r.s + 1)]
+        assert rarity[r.at] == min(rarity)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 512])
+def test_decontamination_in_chunks_and_by_shuffles(spark, docs, monkeypatch, chunk):
+    bench = spark.createDataFrame([(1, ITEM), (6, "école K"), (7, prose(30, 77))], "item_id long, text string")
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(900, "x " * 500 + ITEM + " y" * 507 + " " + ITEM)], "doc_id long, text string"))
+    expected = collections.Counter(map(tuple, decontamination.scan(more, bench).collect()))
+    monkeypatch.setattr(decontamination, "CHUNK", chunk)
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    assert collections.Counter(map(tuple, decontamination.scan(more, bench).collect())) == expected
+    assert any(r[0] == 900 and r[2] == 2 * len(words(ITEM)) for r in expected)
+
+
 def sets_of(texts):
     out = []
     for t in texts:
