@@ -1,12 +1,15 @@
 """License scans by diagonal voting.
 
-All rolling word k-grams of a document are joined to the k-grams of license
-templates. A match votes for the diagonal (place in the document less place in
-the template); votes of neighbouring diagonals are merged, so that a word more
-or less does not split a hit. A hit is verified by the share of the template's k-grams
-that its span has and by the span's length; of hits whose spans overlap, only the
-best one stays, so that of similar notices one gives its label. Beside these,
-phrases name licenses outright.
+Templates are the sections of whole licenses, the notices by which works name a
+license, and identifiers with their versions. All rolling word k-grams of a
+document are joined to the k-grams of the templates. A match votes for the
+diagonal (place in the document less place in the template); votes of neighbouring
+diagonals are merged, so that a word more or less does not split a hit. A hit whose
+diagonals have enough of the template's k-grams, in a span of bounded length, is
+verified on the document's own words: along its diagonals, in the order of the
+template, enough of the template's words must stand there. Of hits whose spans
+overlap, only the best one stays, so that of similar notices one gives its label.
+Beside these, phrases name licenses outright.
 
 Edge cases: null text has no words; rows of equal id and text share one result;
 an empty table gives no rows; columns other than doc_id and text are ignored.
@@ -14,86 +17,98 @@ an empty table gives no rows; columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .words import by_key, grams, keyed, words_of
+from . import license_texts
+from .common import cut
+from .words import WORD, by_key, grams, keyed, words_of
 
 K = 3
 SLACK = 2  # diagonals this near are one hit
-COVERAGE = 0.6  # of a template's k-grams, for a verified hit
+COVERAGE = 0.6  # of a template's k-grams, and of its words in order, for a verified hit
 STRETCH = 1.5  # words of a verified hit at most, to those of its template
+BROADCAST_ROWS = 200_000  # keys of documents with a hit that may be broadcast
 
-# Phrases, and opening words of public license notices.
+# Phrases of the base labels.
 PHRASES = {"mit": ("mit", "license"), "apache": ("apache", "license"), "gpl": ("general", "public", "license")}
-TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
-    ("agpl", "licensed under the gnu affero general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license"),
-    ("cc-by-nd", "licensed under cc by nd 4 0"),
-    ("cc-by-nd", "licensed under a creative commons attribution noderivatives 4 0 international license"),
-    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
-    ("cc-by-nc-sa", "licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
-    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
-    ("cc-by-nc-nd", "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
-)
+LICENSES = [(label, name, re.findall(WORD, text.lower())) for label, name, text in license_texts.templates()]
+TEMPLATES = [(label, " ".join(words)) for label, _, words in LICENSES]
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """(template, label, total, at, g, t0, t1, t2): the k-grams of the fixed templates."""
+    """(template, total, at, g, t0, t1, t2): the k-grams of the fixed templates."""
     rows = []
-    for number, (label, text) in enumerate(TEMPLATES):
-        words = text.split()
-        rows += [(number, label, len(words) - K + 1, at, *words[at : at + K]) for at in range(len(words) - K + 1)]
+    for number, (_, _, words) in enumerate(LICENSES):
+        rows += [(number, len(words) - K + 1, at, *words[at : at + K]) for at in range(len(words) - K + 1)]
     names = [f"t{i}" for i in range(K)]
-    schema = "template int, label string, total int, at int, " + ", ".join(f"{n} string" for n in names)
+    schema = "template int, total int, at int, " + ", ".join(f"{n} string" for n in names)
     return spark.createDataFrame(rows, schema).withColumn("g", F.xxhash64(*names))
 
 
-def hits(documents: DataFrame) -> DataFrame:
-    """Verified hits: (doc_id, h, label, start, end, coverage) of ``documents(doc_id, h, words)``."""
+def _in_order(words: Column, wanted: Column, diagonals: Column) -> Column:
+    """How many of the ``wanted`` words stand in ``words`` on one of the diagonals, each after the one before."""
+
+    def step(state: Column, i: Column) -> Column:
+        here = F.array_min(F.filter(F.transform(diagonals, lambda d: d + i), lambda p: (p > state["last"]) & (F.get(words, p) == F.get(wanted, i))))
+        return F.struct(F.coalesce(here, state["last"]).alias("last"), (state["n"] + F.when(here.isNotNull(), 1).otherwise(0)).alias("n"))
+
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(wanted) - 1), start, step, lambda state: state["n"])
+
+
+def candidates(documents: DataFrame) -> DataFrame:
+    """(doc_id, h, template, start, end, diagonals): merged diagonals with enough k-grams of ``documents(doc_id, h, words)``."""
     names = [f"w{i}" for i in range(K)]
     places = grams(documents.select("doc_id", "h", "words"), K).withColumn("g", F.xxhash64(*names))
     same = [F.col("g") == F.col("tg")] + [F.col(f"w{i}") == F.col(f"t{i}") for i in range(K)]
     known = templates(documents.sparkSession).withColumnRenamed("g", "tg")
-    votes = places.join(F.broadcast(known), same)  # a few hundred rows, fixed
-    votes = votes.select("doc_id", "h", "template", "label", "total", "at", "pos", (F.col("pos") - F.col("at")).alias("diagonal"))
-    diagonals = votes.groupBy("doc_id", "h", "template", "label", "total", "diagonal").agg(
+    votes = places.join(F.broadcast(known), same)  # some thousand rows, fixed
+    votes = votes.select("doc_id", "h", "template", "total", "at", "pos", (F.col("pos") - F.col("at")).alias("diagonal"))
+    diagonals = votes.groupBy("doc_id", "h", "template", "total", "diagonal").agg(
         F.collect_set("at").alias("ats"), F.min("pos").alias("start"), (F.max("pos") + K).alias("end")
     )
     along = Window.partitionBy("doc_id", "h", "template").orderBy("diagonal")
     fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > SLACK, F.lit(True)).cast("int")
+    covered = F.size(F.array_distinct(F.flatten(F.collect_list("ats"))))
     merged = (
         diagonals.withColumn("fresh", fresh)
         .withColumn("hit", F.sum("fresh").over(along))
-        .groupBy("doc_id", "h", "template", "label", "total", "hit")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"), F.min("start").alias("start"), F.max("end").alias("end"))
-        .withColumn("coverage", F.col("covered") / F.col("total"))
+        .groupBy("doc_id", "h", "template", "total", "hit")
+        .agg(covered.alias("covered"), F.min("start").alias("start"), F.max("end").alias("end"), F.sort_array(F.collect_set("diagonal")).alias("diagonals"))
     )
-    verified = merged.where((F.col("coverage") >= COVERAGE) & (F.col("end") - F.col("start") <= STRETCH * (F.col("total") + K - 1)))
+    enough = (F.col("covered") >= COVERAGE * F.col("total")) & (F.col("end") - F.col("start") <= STRETCH * (F.col("total") + K - 1))
+    return merged.where(enough).select("doc_id", "h", "template", "start", "end", "diagonals")
+
+
+def hits(documents: DataFrame) -> DataFrame:
+    """Verified hits: (doc_id, h, label, license, start, end, coverage) of ``documents(doc_id, h, text)``."""
+    spark = documents.sparkSession
+    found = cut(candidates(documents.select("doc_id", "h", words_of(F.col("text")).alias("words"))), "hits")
+    texts = spark.createDataFrame(list(enumerate(x[2] for x in LICENSES)), "template int, wanted array<string>")
+    found = found.join(F.broadcast(texts), "template")  # fixed
+    fields = ("template", "start", "end", "diagonals", "wanted")
+    own = found.groupBy("doc_id", "h").agg(F.collect_list(F.struct(*fields)).alias("hits"))
+    keys = found.select("doc_id", "h").distinct()
+    # only documents with a hit travel, each once with all its hits
+    docs = by_key(documents.select("doc_id", "h", "text"), F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "left_semi")
+    docs = by_key(docs.select("doc_id", "h", words_of(F.col("text")).alias("words")), own, "inner")
+
+    def compared(x: Column) -> Column:
+        return F.struct(x["template"].alias("template"), x["start"].alias("start"), x["end"].alias("end"), F.size(x["wanted"]).alias("n"), _in_order(F.col("words"), x["wanted"], x["diagonals"]).alias("matched"))
+
+    rows = docs.select("doc_id", "h", F.inline(F.transform("hits", compared))).withColumn("coverage", F.col("matched") / F.col("n")).where(F.col("coverage") >= COVERAGE)
     # spans that overlap, directly or through others, are one notice: its best hit stays
     by_start = Window.partitionBy("doc_id", "h").orderBy("start", "end", "template")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")
-    notices = verified.withColumn("apart", apart).withColumn("notice", F.sum("apart").over(by_start))
-    best = F.max_by(F.struct("label", "start", "end", "coverage"), F.struct("coverage", "covered", -F.col("template"))).alias("b")
-    return notices.groupBy("doc_id", "h", "notice").agg(best).select("doc_id", "h", "b.*")
+    notices = rows.withColumn("apart", apart).withColumn("notice", F.sum("apart").over(by_start))
+    best = F.max_by(F.struct("template", "start", "end", "coverage"), F.struct("coverage", "matched", -F.col("template"))).alias("b")
+    named = spark.createDataFrame([(i, x[0], x[1]) for i, x in enumerate(LICENSES)], "template int, label string, license string")
+    best = notices.groupBy("doc_id", "h", "notice").agg(best).select("doc_id", "h", "b.*").join(F.broadcast(named), "template")
+    return best.select("doc_id", "h", "label", "license", "start", "end", "coverage")
 
 
 def base_places(words: str = "words"):
@@ -116,10 +131,16 @@ def base_places(words: str = "words"):
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
-    docs = keyed(documents).withColumn("words", words_of(F.col("text"))).drop("text")
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, licenses of every row.
+
+    ``licenses`` names the licenses of the method's hits with their versions.
+    """
+    texts = keyed(documents)
+    docs = texts.withColumn("words", words_of(F.col("text"))).drop("text")
     plain = docs.select("doc_id", "h", F.size("words").cast("long").alias("n_words"), base_places().alias("base"))
-    found = hits(docs).groupBy("doc_id", "h").agg(F.collect_set("label").alias("found"), F.max("coverage").alias("coverage"))
+    found = hits(texts).groupBy("doc_id", "h").agg(
+        F.collect_set("label").alias("found"), F.array_sort(F.collect_set("license")).alias("licenses"), F.max("coverage").alias("coverage")
+    )
     base_labels = F.coalesce(F.array_sort(F.array_distinct("base.label")), F.array().cast("array<string>"))
     every = F.array_sort(F.array_union(base_labels, F.coalesce("found", F.array().cast("array<string>"))))
     return by_key(plain, found).select(
@@ -131,4 +152,5 @@ def scan(documents: DataFrame) -> DataFrame:
         F.array_join(base_labels, ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
         F.greatest(F.coalesce("coverage", F.lit(0.0)), F.when(F.size(base_labels) > 0, 0.5).otherwise(0.0)).alias("score"),
+        F.coalesce(F.array_join("licenses", ","), F.lit("")).alias("licenses"),
     )

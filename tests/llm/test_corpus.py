@@ -544,6 +544,46 @@ def test_each_notice_has_its_own_label_only(spark):
     assert licenses.scan(far).first()["labels"] == ""
 
 
+NOTICES = {
+    "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": ("cc-by", "CC-BY-3.0"),
+    "Creative Commons Attribution-ShareAlike 3.0": ("cc-by-sa", "CC-BY-SA-3.0"),
+    "are made available under the terms of the Eclipse Public License 2.0 which is available at": ("epl", "EPL-2.0"),
+    "Distributed under the Boost Software License, Version 1.0. (See accompanying file)": ("boost", "BSL-1.0"),
+    "license = BSD-3-Clause": ("bsd", "BSD-3-Clause"),
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": ("mit", "MIT"),
+    "SPDX-License-Identifier: Apache-2.0": ("apache", "Apache-2.0"),
+    "the European Union has public offices": ("", ""),
+}
+
+
+def test_licenses_by_sections_names_and_versions(spark):
+    rows = [(i, f"Before it. {t} And after.") for i, t in enumerate(NOTICES)]
+    got = {r["doc_id"]: (r["labels"], r["licenses"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == list(NOTICES.values())
+
+
+def test_license_words_are_compared_in_order(spark):
+    def in_order(words, wanted, diagonals):
+        last, n = -1, 0
+        for i, w in enumerate(wanted):
+            here = [i + d for d in diagonals if last < i + d < len(words) and words[i + d] == w]
+            if here:
+                last, n = min(here), n + 1
+        return n
+
+    r = random.Random(3)
+    rows = []
+    for i in range(200):
+        wanted = [r.choice("abcd") for _ in range(r.randint(1, 12))]
+        text = [w for w in ["x"] * r.randint(0, 3) + wanted if r.random() > 0.15]
+        rows.append((i, text, wanted, sorted(r.sample(range(-3, 6), r.randint(1, 4)))))
+    df = spark.createDataFrame(rows, "i int, words array<string>, wanted array<string>, diagonals array<int>")
+    got = dict(df.select("i", licenses._in_order(F.col("words"), F.col("wanted"), F.col("diagonals")).alias("n")).collect())
+    assert got == {i: in_order(*x) for i, *x in rows}
+    shuffled = " ".join(sorted(licenses.LICENSES[2][2]))
+    assert licenses.scan(spark.createDataFrame([(1, shuffled)], "doc_id long, text string")).first()["labels"] == ""
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_rows_as_sql(spark, name):
     import os
