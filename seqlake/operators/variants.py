@@ -57,44 +57,46 @@ def genome_bins(df: DataFrame, size: int = 1_000_000, partitions: int | None = N
     return binned.repartitionByRange(partitions, "contig", "bin") if partitions else binned.repartitionByRange("contig", "bin")
 
 
-def load_bins(df: DataFrame, rows_per_bin: int, grid: int = 1024) -> DataFrame:
+def load_bins(df: DataFrame, rows_per_bin: int, cell: int = 10_000) -> DataFrame:
     """(contig, bin, low, high): stretches of each contig with about ``rows_per_bin`` rows of ``df(contig, pos, ...)``.
 
-    Ends come from a quantile sketch of the positions, of ``grid`` quantiles a
-    contig, of which every so many are taken; so a deep locus is cut more finely,
-    and a contig has at most ``grid`` bins. Positions are not cut: all rows of one are in one bin.
-    Stretches follow each other from 1 to the last one's open end.
+    A position belongs to the bin that its rank among the contig's rows falls in, so a deep locus is cut
+    more finely, and no bin has ``rows_per_bin`` rows more than its last position has. Positions are not cut: all
+    rows of one are in one bin. Stretches follow each other from 1 to the last one's open end; their numbers
+    ascend, and leave out those that one position runs over. Ranks are sums within cells of ``cell`` bases and
+    of cells: no window has more rows than a cell has bases or a contig has cells.
     """
-    quantiles = F.percentile_approx("pos", [i / grid for i in range(1, grid)], 20 * grid).alias("q")
-    contigs = df.where("contig is not null and pos is not null").groupBy("contig").agg(F.count(F.lit(1)).alias("n"), quantiles)
-    step = F.greatest(F.lit(1), F.round(F.lit(grid) * rows_per_bin / F.col("n"))).cast("int")
-    ends = F.array_distinct(F.filter("q", lambda x, i: (i + 1) % F.col("step") == 0))
-    contigs = contigs.withColumn("step", step).select("contig", ends.cast("array<bigint>").alias("ends"))
-    lows = F.concat(F.array(F.lit(1).cast("bigint")), F.transform("ends", lambda x: x + 1))
-    highs = F.concat("ends", F.array(F.lit((1 << 62) - 1)))
-    rows = contigs.select("contig", F.posexplode(F.arrays_zip(lows.alias("low"), highs.alias("high"))).alias("bin", "s"))
-    return rows.select("contig", F.col("bin").cast("bigint").alias("bin"), "s.low", "s.high")
-
-
-def in_load_bins(df: DataFrame, bins: DataFrame, pad: int = 0) -> DataFrame:
+    sites = df.where("contig is not null and pos is not null").groupBy("contig", F.greatest("pos", F.lit(1)).cast("bigint").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
+    sites = sites.withColumn("_cell", F.floor(F.col("pos") / cell))
+    along = Window.partitionBy("contig").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = sites.groupBy("contig", "_cell").agg(F.sum("n").alias("n"), F.max("pos").alias("end"))
+    cells = cells.select(
+        "contig", "_cell", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("before"), F.coalesce(F.max("end").over(along), F.lit(0)).alias("earlier"),
+        F.max("end").over(Window.partitionBy("contig")).alias("final"),
+    )
+    inside = Window.partitionBy("contig", "_cell").orderBy("pos")
+    rank = F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = sites.withColumns({"rank": rank, "last": F.lag("pos").over(inside)}).join(cells, ["contig", "_cell"])
+    ranked = ranked.withColumn("bin", F.floor((F.col("before") + F.col("rank")) / rows_per_bin).cast("bigint"))
+    low, high = F.min(F.coalesce("last", "earlier")) + 1, F.max(F.when(F.col("pos") == F.col("final"), (1 << 62) - 1).otherwise(F.col("pos")))
+    return ranked.groupBy("contig", "bin").agg(low.alias("low"), high.alias("high"))
+
+
+def in_load_bins(df: DataFrame, bins: DataFrame, pad: int = 0, cell: int = 256) -> DataFrame:
     """``df(contig, pos, ...)`` once for each of :func:`load_bins` within ``pad`` of a row: plus _bin, _low and _high.
 
-    A contig's bins, of which there are no more than the grid has quantiles, come to its rows as one array, in which a place is found by halving.
+    Rows and bins meet in cells of ``cell`` bases; a pair counts in that of its later start. A contig's last bin
+    has no end: it lies in the cell that it starts in, and so do all rows beyond.
     """
-    ranges = bins.groupBy("contig").agg(F.array_sort(F.collect_list(F.struct("bin", "low", "high"))).alias("_bins"))  # a row a contig
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size("_bins") + 1.0)).cast("int"))
-
-    def bin_of(pos: Column) -> Column:
-        def half(at: Column, _: Column) -> Column:
-            middle = F.floor((at["a"] + at["b"]) / 2).cast("int")
-            later = pos > F.get("_bins", middle)["high"]
-            return F.struct(F.when(later, middle + 1).otherwise(at["a"]).alias("a"), F.when(later, at["b"]).otherwise(middle).alias("b"))
-
-        return F.aggregate(steps, F.struct(F.lit(0).alias("a"), (F.size("_bins") - 1).alias("b")), half, lambda at: at["a"])
-
-    low, high = (bin_of(F.greatest(F.col("pos") + d, F.lit(1))) for d in (-pad, pad))
-    spread = df.join(ranges, "contig").withColumn("_at", F.explode(F.transform(F.sequence(low, high), lambda i: F.get("_bins", i))))
-    return spread.select(*df.columns, F.col("_at.bin").alias("_bin"), F.col("_at.low").alias("_low"), F.col("_at.high").alias("_high"))
+    tops = bins.groupBy("contig").agg(F.floor(F.max("low") / cell).alias("_top"))  # a row a contig
+    top = F.col("_top")
+    ends = F.sequence(F.floor(F.col("low") / cell), F.least(F.floor(F.col("high") / cell), top))
+    spread = bins.join(tops, "contig").select("contig", F.col("bin").alias("_bin"), F.col("low").alias("_low"), F.col("high").alias("_high"), F.explode(ends).alias("_cell"))
+    first, last = (F.greatest(F.col("pos") + d, F.lit(1)) for d in (-pad, pad))
+    rows = df.join(tops, "contig").withColumn("_cell", F.explode(F.sequence(F.least(F.floor(first / cell), top), F.least(F.floor(last / cell), top))))
+    pairs = rows.join(spread, ["contig", "_cell"]).where((first <= F.col("_high")) & (last >= F.col("_low")))
+    own = pairs.where(F.least(F.floor(F.greatest(first, F.col("_low")) / cell), top) == F.col("_cell"))
+    return own.select(*df.columns, "_bin", "_low", "_high")
 
 
 def union_shards(*shards: DataFrame) -> DataFrame:
