@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from seqlake.functions import scalars
 from seqlake.operators import align, apply, intervals, jobs, recal, rnaseq, variants
 from seqlake.plans import pipelines
-from seqlake.registry.tables import frame
+from seqlake.registry.tables import TABLES, frame, sql
 from seqlake.sources import fastq, text
 from seqlake.streaming import jobs as stream
 
@@ -185,6 +185,28 @@ def test_bins_of_equal_load_split_a_deep_locus(spark):
     assert sorted(tuple(x) for x in near if x["pos"] % 7 == 0) == want
 
 
+def test_bins_of_equal_load_have_no_most_number(spark):
+    df = spark.range(1, 40_001).select(F.lit("c").alias("contig"), (F.col("id") * 3).alias("pos"))
+    bins = variants.load_bins(df, 10)
+    assert bins.count() == 4000
+    sizes = variants.in_load_bins(df, bins).groupBy("_bin").count()
+    assert [tuple(r) for r in sizes.agg(F.count("*"), F.min("count"), F.max("count")).collect()] == [(4000, 10, 10)]
+    far = spark.createDataFrame([("c", 0), ("c", 10**12), ("c", 31)], "contig string, pos long")  # before, beyond, within 1 of the second
+    assert sorted((r["pos"], r["_bin"]) for r in variants.in_load_bins(far, bins, 1).collect()) == [(0, 0), (31, 0), (31, 1), (10**12, 3999)]
+
+
+def test_reads_cut_from_tiles_are_those_of_whole_contigs(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("part", "orders"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    got = frame(spark, DATA, "placed_reads")
+    want = con.sql(sql("SELECT name, o, mate, seq, qual, true_contig, true_pos FROM placed_reads")).fetchall()
+    assert sorted(map(tuple, got.select("name", "o", "mate", "seq", "qual", "true_contig", "true_pos").collect())) == sorted(want)
+    assert "sample_contigs" not in TABLES["placed_pairs"][0] + TABLES["placed_reads"][0]  # no row holds a contig
+
+
 def test_nested_bins_give_each_pair_once_with_few_rows(spark):
     r = random.Random(6)
     lengths = [1, 2, 100, 255, 256, 257, 2048, 5000, 500_000, 3_000_000, 10**9]
