@@ -97,6 +97,20 @@ def test_no_place_is_lost_wherever_the_mismatches_are(spark, window):
     assert {x["name"]: (x["nm"], x["pos"], x["rev"]) for x in got.collect()} == want
 
 
+def test_short_parts_meet_few_places_by_chance(spark):
+    r = random.Random(5)
+    genome = "".join(r.choice("ACGT") for _ in range(60_000))
+    tiles = spark.createDataFrame([("c", i // 32, i, genome[i : i + 32]) for i in range(0, len(genome), 32)], "contig string, tile long, start0 long, seq string")
+    reads = spark.createDataFrame([(f"r{i}", 1, genome[i * 500 : i * 500 + 40], "I" * 40) for i in range(100)], "name string, mate int, seq string, qual string")
+    met = align.pair_seeds(reads).join(align.paired_index(tiles), "kmer").count()
+    assert 1500 <= met <= 100 * (15 + 30)  # every pair at the true place, and some 0.1 to 0.2 a pair by chance
+    assert align.align_everywhere(reads, tiles).where("nm = 0").count() == 100
+
+
+def test_calls_of_shards_meet_tiles_not_bases(spark):
+    assert "ref_bases" not in TABLES["vcf_shards"][0] and frame(spark, DATA, "vcf_shards").count() > 0
+
+
 def test_a_kept_index_is_read_without_a_shuffle(spark, tmp_path):
     tiles = frame(spark, DATA, "contig_tiles")
     frame(spark, DATA, "reads").write.parquet(str(tmp_path / "reads"))
