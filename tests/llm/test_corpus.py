@@ -526,6 +526,23 @@ def test_line_dedup_against_all_pairs(spark):
     assert all(len(p) == 1 for p in parts.values())  # nothing goes that brute force would keep
 
 
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_similar_lines_of_a_bucket_are_never_parted(spark, monkeypatch, hot):
+    # a template with a filling: one large bucket, most of whose lines are near a few others and not near its ends
+    template, r = "the order of the day is set for the house of the", random.Random(77)
+    stems = [template + " " + prose(4, 7000 + i) for i in range(40)]
+    texts = [s + " " + "".join(r.choice("klmnop") for _ in range(4)) for s in stems for _ in range(5)]
+    docs = lines.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    monkeypatch.setattr(lines, "HOT", hot)
+    monkeypatch.setattr(lines, "TILE", 7)
+    one = lines._banded(docs).withColumn("buckets", F.array(F.lit(1).cast("long"))).cache()
+    roots = lines._groups(docs, one, lines.Scratch(spark)).join(one.select("doc_id", "node"), "node").select("doc_id", "root").collect()
+    got = {d["doc_id"]: d["root"] for d in roots}
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if similar_lines(texts[a], texts[b])]
+    assert len(near) > 100 and all(got[a] == got[b] for a, b in near)
+    assert len(set(got.values())) > 10
+
+
 def test_components_with_hot_nodes(spark, monkeypatch):
     monkeypatch.setattr("seqlake.llm.common.HOT_DEGREE", 10)
     monkeypatch.setattr("seqlake.llm.common.HOT_NODES", 10)
