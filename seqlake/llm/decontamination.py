@@ -3,7 +3,8 @@
 An item's windows are its runs of ``size`` words. A window occurs in a document
 only if all its word shingles do, so one of them is its necessary prefix: the
 rarest, by a sketch of the word counts of all documents (a shingle is at most as
-frequent as its rarest word). Only prefixes are joined with the documents, one
+frequent as its rarest word). Texts are split into words once, and what looks at
+all of them reads their hashes from a table. Only prefixes are joined with the documents, one
 row a window. Their places, shifted to the window's start and bounded by the
 document's length, are the candidates; each is verified against the document's
 own words, of which only those of documents with a candidate travel, in chunks.
@@ -38,19 +39,35 @@ def windows_of(items: DataFrame, size: int) -> DataFrame:
     return words.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, size))).alias("window")).distinct()
 
 
-def _gram(words: Column, size: int) -> Column:
-    """Hashes of the runs of ``size`` words, one at every position that has one."""
-    hashes = F.transform(words, lambda x, i: F.xxhash64(x, *(F.get(words, i + j) for j in range(1, size))))
-    return F.slice(hashes, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+def hashed(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, hashes) of ``docs(doc_id, h, words)``: a hash for each word, as a table, so that texts are split once."""
+    return cut(docs.select("doc_id", "h", _hashes(F.col("words")).alias("hashes")), "words")
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
+
+
+def _gram(hashes: Column, at: Column, size: int) -> Column:
+    """A hash of the run of ``size`` words from 0-based ``at`` on."""
+    return F.xxhash64(*(F.get(hashes, at + j) for j in range(size)))
+
+
+def _grams(hashes: DataFrame, size: int) -> DataFrame:
+    """(doc_id, h, n_words, pos, g): the runs of ``size`` words of ``hashes(doc_id, h, hashes)``, one at every position that has one."""
+    rows = hashes.select("doc_id", "h", "hashes", F.size("hashes").alias("n_words"), F.posexplode("hashes").alias("pos", "first"))
+    return rows.where(F.col("pos") + size <= F.col("n_words")).select("doc_id", "h", "n_words", "pos", _gram(F.col("hashes"), F.col("pos"), size).alias("g"))
 
 
 def _cell(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(CELLS))
 
 
-def prefixes(windows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(wid, window, len, s, at, g) of ``windows(wid, window, len)``: place, length and hash of each one's rarest shingle."""
-    sketch = cut(docs.select(F.explode("words").alias("word")).groupBy(_cell(F.col("word")).alias("cell")).agg(F.count(F.lit(1)).alias("n")), "rarity")
+def prefixes(windows: DataFrame, docs: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
+    """(wid, window, len, s, at, g) of ``windows(wid, window, len)``: place, length and hash of each one's rarest shingle in ``docs(words)`` or their ``hashes``."""
+    hashes = docs.select(_hashes(F.col("words")).alias("hashes")) if hashes is None else hashes
+    cells = hashes.select(F.explode("hashes").alias("hash")).select(F.pmod("hash", F.lit(CELLS)).alias("cell"))
+    sketch = cut(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "rarity")
     words = windows.select("wid", F.posexplode("window").alias("i", "word")).withColumn("cell", _cell(F.col("word")))
     words = words.join(F.broadcast(sketch), "cell", "left")  # CELLS rows at most
     counts = words.groupBy("wid").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("n", F.lit(0)).alias("n")))).alias("c"))
@@ -62,10 +79,11 @@ def prefixes(windows: DataFrame, docs: DataFrame) -> DataFrame:
 
     first = F.array_min(F.transform(F.sequence(F.lit(0), F.col("len") - s), rank))
     found = windows.join(counts, "wid").select("wid", "window", "len", s.alias("s"), first["at"].alias("at"))
-    grams = F.when(F.col("s") == SHINGLE, _gram(F.col("window"), SHINGLE))
+    own = _hashes(F.col("window"))
+    gram = F.when(F.col("s") == SHINGLE, _gram(own, F.col("at"), SHINGLE))
     for size in range(1, SHINGLE):
-        grams = grams.when(F.col("s") == size, _gram(F.col("window"), size))
-    return found.withColumn("g", F.get(grams, F.col("at")))
+        gram = gram.when(F.col("s") == size, _gram(own, F.col("at"), size))
+    return found.withColumn("g", gram)
 
 
 def _at_prefixes(places: DataFrame, prefix: DataFrame, rows: int) -> DataFrame:
@@ -76,8 +94,8 @@ def _at_prefixes(places: DataFrame, prefix: DataFrame, rows: int) -> DataFrame:
     return places.join(prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"]).drop("salt")
 
 
-def occurrences(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """(doc_id, h, start, len, item_id) for every place of a window in ``docs(doc_id, h, words)``."""
+def occurrences(docs: DataFrame, items: DataFrame, size: int = 10, hashes: DataFrame | None = None) -> DataFrame:
+    """(doc_id, h, start, len, item_id) for every place of a window in ``docs(doc_id, h, words)``, of which ``hashes`` are :func:`hashed`."""
     found = windows_of(items, size)
     windows = cut(
         found.groupBy("window").agg(F.collect_set("item_id").alias("items")).withColumn("wid", F.monotonically_increasing_id()), "windows"
@@ -87,11 +105,11 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     if not sizes:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, h bigint, start int, len int, item_id string")
 
-    prefix = cut(prefixes(windows.drop("items"), docs), "prefixes")
+    hashes = hashed(docs) if hashes is None else hashes
+    prefix = cut(prefixes(windows.drop("items"), docs, hashes), "prefixes")
     candidates = []
     for s in sizes:
-        places = docs.select("doc_id", "h", F.size("words").alias("n_words"), F.posexplode(_gram(F.col("words"), s)).alias("pos", "g"))
-        candidates.append(_at_prefixes(places, prefix.where(F.col("s") == s).drop("s"), n_windows))
+        candidates.append(_at_prefixes(_grams(hashes, s), prefix.where(F.col("s") == s).drop("s"), n_windows))
     start = F.col("pos") - F.col("at")
     candidates = reduce(DataFrame.unionByName, candidates).where((start >= 0) & (start + F.col("len") <= F.col("n_words")))
     candidates = cut(candidates.select("doc_id", "h", start.alias("start"), "len", "wid", "window"), "candidates")
@@ -112,14 +130,15 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
 def scan(documents: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``documents``."""
     docs = keyed(documents).withColumn("words", words_of(F.col("text"))).drop("text")
-    places = cut(occurrences(docs, items, size), "occurrences")
+    hashes = hashed(docs)
+    places = cut(occurrences(docs, items, size, hashes), "occurrences")
     spans = places.select("doc_id", "h", "start", (F.col("start") + F.col("len")).alias("end")).distinct()
     before = Window.partitionBy("doc_id", "h").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.greatest("start", F.coalesce(F.max("end").over(before), F.lit(0)))
     hit = spans.withColumn("new", F.greatest(F.col("end") - reach, F.lit(0))).groupBy("doc_id", "h").agg(F.sum("new").alias("n_hit"))
     own = places.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     both = by_key(hit, own, "inner")
-    return by_key(docs.select("doc_id", "h", F.size("words").cast("long").alias("n_words")), both).select(
+    return by_key(hashes.select("doc_id", "h", F.size("hashes").cast("long").alias("n_words")), both).select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

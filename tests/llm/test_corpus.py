@@ -181,6 +181,16 @@ def test_decontamination_joins_one_shingle_a_window(spark, docs):
         assert rarity[r.at] == min(rarity)
 
 
+def test_decontamination_splits_texts_once(spark, docs):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    plan = decontamination.scan(docs, bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # the counts of words come from the table of their hashes
+    hashes = decontamination.hashed(docs.select("doc_id", F.lit(0).alias("h"), decontamination.words_of(F.col("text")).alias("words")))
+    for size in (1, 3):
+        every = sum(max(r.n - size + 1, 0) for r in hashes.select(F.size("hashes").alias("n")).collect())
+        assert decontamination._grams(hashes, size).count() == every
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 512])
 def test_decontamination_in_chunks_and_by_shuffles(spark, docs, monkeypatch, chunk):
     bench = spark.createDataFrame([(1, ITEM), (6, "école K"), (7, prose(30, 77))], "item_id long, text string")
