@@ -20,6 +20,7 @@ out of the score.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -49,6 +50,7 @@ LANGUAGES = {
 STEM = 5  # letters by which rare words share an embedding
 APART, LEAST_APART = 5, 500  # every fifth row of a sample of so many is kept for the thresholds
 SLICE = 256  # rows of a batch of scores
+SAMPLE = pa.schema([("text", pa.string()), ("label", pa.int32())])
 
 
 def bucket(word: str) -> int:
@@ -271,9 +273,15 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars
         .withColumn("chars", F.sum(F.length("r.text")).over(Window.orderBy("h")))  # max_rows rows at most
         .where(F.col("chars") <= max_chars)
         .select("r.*")
-        .toPandas()
     )
-    return train(rows["text"].tolist(), (rows["label"].to_numpy() > 0).astype(float))
+
+    # the sample is one sorted partition by now; it is fitted there, and the driver gets the weights only
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pa.Table.from_batches(batches, SAMPLE)
+        model = train(own.column("text").to_pylist(), (own.column("label").to_numpy() > 0).astype(float))
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    return pickle.loads(rows.coalesce(1).mapInArrow(run, "model binary").first()["model"])
 
 
 def score(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

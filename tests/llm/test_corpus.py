@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import json
+import os
 import random
 import re
 import zlib
@@ -446,6 +447,15 @@ def labelled_docs(spark):
     return spark.createDataFrame(good + junk + toxic, "doc_id long, text string, quality int, toxic int")
 
 
+def test_toxicity_is_not_fitted_in_the_driver(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"word{i} again") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: (os.getpid(), len(texts), sum(labels)))
+    pid, n, positive = toxicity.fit(texts, labels)
+    assert pid != os.getpid()
+    assert n == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40)) and 0 < positive < n
+
+
 def test_classifiers_on_held_out_rows(spark, docs):
     rows = labelled_docs(spark).cache()
     labels = rows.select("doc_id", "quality", "toxic").unionByName(spark.createDataFrame([(None, 1, 1), (5, None, None), (99999, 1, 1)], "doc_id long, quality int, toxic int"))
