@@ -147,6 +147,19 @@ def test_no_job_starts_while_plans_are_built(spark):
         spark.sparkContext.setJobGroup("tests", "tests")
 
 
+def test_known_sites_meet_tiles_and_not_bases(spark):
+    tile = "ACGTTGCAACGTACGTTTGACCAGTACGATCA"
+    tiles = spark.createDataFrame([("c", 0, 0, tile), ("c", 1, 32, tile[::-1])], "contig string, tile bigint, start0 bigint, seq string")
+    whole = tile + tile[::-1]
+    hits = spark.createDataFrame([("c", p, p % 2 == 0, whole[p - 1 : p + 39], "I" * 40, 60) for p in (1, 2, 9, 25)], "contig string, pos bigint, rev boolean, seq string, qual string, mapq int")
+    known = [("c", 1), ("c", 32), ("c", 33), ("c", 33), ("c", None), (None, 5), ("d", 10)]
+    mask = spark.createDataFrame(known, "contig string, pos bigint")
+    found = recal.count_covariates(hits, tiles, mask)
+    assert "LeftAnti" not in plan(found)
+    off = sum((h.contig, h.pos + i) not in known for h in hits.collect() for i in range(40))
+    assert [tuple(r) for r in found.agg(F.sum("n_obs"), F.sum("n_mismatch")).collect()] == [(off, 0)]
+
+
 def test_recalibration_looks_up_or_joins(spark):
     reads = [("a", 1, "c", 1, False, "ACGTN", "IIII5"), ("b", 1, "c", 1, True, "ACGTN", "I5III"), ("e", 1, "c", 1, False, "", ""), ("x", 1, "c", 1, True, "AC*GT", "!~III")]
     alignments = spark.createDataFrame(reads, "name string, mate int, contig string, pos long, rev boolean, seq string, qual string")
