@@ -160,6 +160,12 @@ def test_known_sites_meet_tiles_and_not_bases(spark):
     assert [tuple(r) for r in found.agg(F.sum("n_obs"), F.sum("n_mismatch")).collect()] == [(off, 0)]
 
 
+def test_reads_of_a_stretch_are_counted_together(spark):
+    hits = spark.createDataFrame([("c", p, "ACGT" * 10, "I" * 40, 60) for p in (1, 9_990, 9_999, 10_000, 25_000)] * 3, "contig string, pos bigint, seq string, qual string, mapq int")
+    assert "REBALANCE" in plan(variants.pileup(hits.repartition(4)))
+    assert variants.pileup(hits.repartition(4)).agg(F.sum("n")).first()[0] == 5 * 3 * 40
+
+
 def test_recalibration_looks_up_or_joins(spark):
     reads = [("a", 1, "c", 1, False, "ACGTN", "IIII5"), ("b", 1, "c", 1, True, "ACGTN", "I5III"), ("e", 1, "c", 1, False, "", ""), ("x", 1, "c", 1, True, "AC*GT", "!~III")]
     alignments = spark.createDataFrame(reads, "name string, mate int, contig string, pos long, rev boolean, seq string, qual string")
