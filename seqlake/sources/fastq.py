@@ -14,6 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 SCHEMA = "file string, at long, name string, description string, seq string, qual string"
 NAME = re.compile(r"\S*", re.ASCII)
 COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
+RANGES, LARGEST = 200, 64 << 20  # ranges of an input, beyond which they become longer in place of more, up to so many bytes
 
 
 class ByteRange(InputPartition):
@@ -62,13 +63,17 @@ def records(f: io.BufferedIOBase, start: int, end: int) -> Iterator[tuple[int, l
 class FastqReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = options["path"].split("\n")
-        self.range_bytes = int(options.get("rangebytes", 64 << 20))
+        self.range_bytes = int(options.get("rangebytes", LARGEST))
         self.batch_rows = int(options.get("batchrows", 10_000))
         self.strict = options.get("strict", "false") == "true"
 
     def partitions(self) -> list[ByteRange]:
-        """Ranges of all files of the paths; a compressed file is one range, hidden files are left out."""
-        out = []
+        """Ranges of all files of the paths; a compressed file is one range, hidden files are left out.
+
+        A range is a task, whose start costs far more than a short range: so ranges
+        have ``range_bytes`` at least, and are longer where that would make many.
+        """
+        files = []
         for path in self.paths:
             fs, inner = _filesystem(path)
             info = fs.get_file_info(inner)
@@ -77,8 +82,12 @@ class FastqReader(DataSourceReader):
             found = [info] if info.type == pyarrow.fs.FileType.File else fs.get_file_info(pyarrow.fs.FileSelector(inner))
             for f in sorted(found, key=lambda f: f.path):
                 if f.type == pyarrow.fs.FileType.File and f.base_name[0] not in "._":
-                    step = f.size or 1 if f.path.endswith(COMPRESSED) else self.range_bytes
-                    out += [ByteRange(f.path, a, a + step) for a in range(0, f.size, step)]
+                    files.append(f)
+        fair = max(self.range_bytes, min(LARGEST, sum(f.size for f in files) // RANGES))
+        out = []
+        for f in files:
+            step = f.size or 1 if f.path.endswith(COMPRESSED) else fair
+            out += [ByteRange(f.path, a, a + step) for a in range(0, f.size, step)]
         return out
 
     def read(self, part: ByteRange | None) -> Iterator[pa.RecordBatch]:
@@ -122,13 +131,14 @@ class FastqSource(DataSource):
         return FastqReader(self.options)
 
 
-def fastq_records(spark: SparkSession, paths: str | list[str], strict: bool = False, range_bytes: int = 64 << 20) -> DataFrame:
+def fastq_records(spark: SparkSession, paths: str | list[str], strict: bool = False, range_bytes: int = LARGEST) -> DataFrame:
     """(file, at, name, description, seq, qual): the good records of FASTQ files, ``at`` the byte that a record starts at.
 
     What :func:`seqlake.sources.text.fastq_scan` gives for well-formed files,
     without a shuffle and without record numbers. Where lines are missing, reading
     goes on at the next record, while the scan by line numbers has lost its place
-    for the rest of the file. Paths are those that Arrow's file systems open.
+    for the rest of the file. Paths are those that Arrow's file systems open. Ranges have
+    ``range_bytes`` at least; they are longer where an input would have over ``RANGES`` of them.
     """
     spark.dataSource.register(FastqSource)
     options = {"path": "\n".join([paths] if isinstance(paths, str) else paths), "strict": str(strict).lower(), "rangebytes": str(range_bytes)}

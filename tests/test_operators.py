@@ -298,6 +298,12 @@ def test_fastq_source_equals_the_scan_without_a_shuffle(spark, tmp_path):
         fastq.fastq_records(spark, str(tmp_path), strict=True).collect()
 
 
+def test_short_ranges_of_a_fastq_file_do_not_become_many_tasks(spark, tmp_path):
+    (tmp_path / "a.fq").write_text("".join(f"@r{i}\nACGT\n+\nIIII\n" for i in range(5000)))
+    got = fastq.fastq_records(spark, str(tmp_path), range_bytes=50)
+    assert got.count() == 5000 and got.rdd.getNumPartitions() <= fastq.RANGES + 1
+
+
 def test_bad_fastq_records(spark, tmp_path):
     (tmp_path / "x.fq").write_text("@a 1\nACGT\n+\nIIII\nb\nACGT\n+\nIIII\n@c\nACG\n+\nIIII\n@d\nA\n-\nI\n")
     assert [r["name"] for r in text.fastq_scan(spark, str(tmp_path)).collect()] == ["a"]
