@@ -298,6 +298,12 @@ def test_fastq_source_equals_the_scan_without_a_shuffle(spark, tmp_path):
         fastq.fastq_records(spark, str(tmp_path), strict=True).collect()
 
 
+def test_kmers_of_a_genome_in_one_file_are_made_by_many_tasks(spark):
+    tiles = frame(spark, DATA, "contig_tiles").coalesce(1)
+    for rows in (align.minimizers(tiles), align.paired_index(tiles)):
+        assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_short_ranges_of_a_fastq_file_do_not_become_many_tasks(spark, tmp_path):
     (tmp_path / "a.fq").write_text("".join(f"@r{i}\nACGT\n+\nIIII\n" for i in range(5000)))
     got = fastq.fastq_records(spark, str(tmp_path), range_bytes=50)
