@@ -304,6 +304,11 @@ def test_kmers_of_a_genome_in_one_file_are_made_by_many_tasks(spark):
         assert rows.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_exons_are_dealt_by_transcript_before_they_are_collected(spark):
+    text = rnaseq.intron_chains(frame(spark, DATA, "exons"))._jdf.queryExecution().executedPlan().toString()
+    assert text.index("partial_collect_list") < text.index("Exchange")  # the exchange is below
+
+
 def test_short_ranges_of_a_fastq_file_do_not_become_many_tasks(spark, tmp_path):
     (tmp_path / "a.fq").write_text("".join(f"@r{i}\nACGT\n+\nIIII\n" for i in range(5000)))
     got = fastq.fastq_records(spark, str(tmp_path), range_bytes=50)
