@@ -92,3 +92,11 @@ def test_shared_fragments_go_where_unique_ones_are(spark):
     got = {r["transcript_id"]: r for r in rnaseq.shared_abundance(hits, exons, rounds=8).collect()}
     assert got["long"]["n_frag"] == 90 and got["long"]["n_unique"] == 40 and got["short"]["n_frag"] == 50 and got["short"]["n_unique"] == 0
     assert abs(got["long"]["micro_frag"] - 80e6) < 8e6 and abs(sum(r["micro_frag"] for r in got.values()) - 90e6) < 100
+
+
+def test_rounds_of_shared_abundance_carry_no_lists_of_transcripts(spark):
+    exons = spark.createDataFrame([("s", "a", "c", "+", 1, 100), ("s", "b", "c", "+", 51, 150)], "sample string, transcript_id string, contig string, strand string, start long, end long")
+    hits = spark.createDataFrame([("s", "h", "c", "+", 60, 90), ("s", "i", "c", "+", 1, 20)], "sample string, name string, contig string, strand string, start long, end long")
+    got = rnaseq.shared_abundance(hits, exons)
+    assert "transcripts" not in got._jdf.queryExecution().analyzed().toString()
+    assert sorted((r["transcript_id"], r["n_frag"], r["n_unique"]) for r in got.collect()) == [("a", 2, 1), ("b", 1, 0)]
