@@ -281,7 +281,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars
         model = train(own.column("text").to_pylist(), (own.column("label").to_numpy() > 0).astype(float))
         yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
 
-    return pickle.loads(rows.coalesce(1).mapInArrow(run, "model binary").first()["model"])
+    fitted = rows.coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else train([], np.zeros(0))  # an empty sample may have no task
 
 
 def score(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
