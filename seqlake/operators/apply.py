@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from .variants import in_load_bins, load_bins
 
 
@@ -30,10 +31,10 @@ def apply_per_load(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sc
     """:func:`apply_per_bin` over bins of about equal load (:func:`seqlake.operators.variants.load_bins`).
 
     So no task has much more than ``rows_per_bin`` rows and those within ``pad``
-    of its edges, unless one position alone has. ``df`` is read twice.
+    of its edges, unless one position alone has. ``df`` is read twice; bins are a written table.
     """
     columns = df.columns
-    spread = in_load_bins(df, load_bins(df, rows_per_bin), pad)
+    spread = in_load_bins(df, written(load_bins(df, rows_per_bin), "bins"), pad)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         low, high = rows["_low"].iloc[0], rows["_high"].iloc[0]

@@ -9,6 +9,7 @@ from ..functions.scalars import natural_key, phred
 from ..sources.text import drop_header_lines
 
 BASES = ("A", "C", "G", "T")
+SALTS = 16  # tasks that count the positions of one cell
 
 
 def min_quality_filter(alignments: DataFrame, min_mapq: int = 0, min_mean_qual: int = 0) -> DataFrame:
@@ -72,8 +73,11 @@ def load_bins(df: DataFrame, rows_per_bin: int, cell: int = 10_000) -> DataFrame
     ascend, and leave out those that one position runs over. Ranks are sums within cells of ``cell`` bases and
     of cells: no window has more rows than a cell has bases or a contig has cells.
     """
-    sites = df.where("contig is not null and pos is not null").groupBy("contig", F.greatest("pos", F.lit(1)).cast("bigint").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
-    sites = sites.withColumn("_cell", F.floor(F.col("pos") / cell))
+    at = df.where("contig is not null and pos is not null").select("contig", F.greatest("pos", F.lit(1)).cast("bigint").alias("pos"))
+    # dealt first: a task that counts what a file happens to hold would keep every position of it in memory; those of a deep cell stay apart by where they were read
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = at.withColumn("_cell", F.floor(F.col("pos") / cell)).repartition(parts, "contig", "_cell", F.spark_partition_id() % SALTS)
+    sites = dealt.groupBy("contig", "_cell", "pos").agg(F.count(F.lit(1)).alias("n"))
     along = Window.partitionBy("contig").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = sites.groupBy("contig", "_cell").agg(F.sum("n").alias("n"), F.max("pos").alias("end"))
     cells = cells.select(

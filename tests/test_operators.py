@@ -131,6 +131,15 @@ def test_a_kept_index_is_read_without_a_shuffle(spark, tmp_path):
     spark.sql("DROP TABLE kept_kmers")
 
 
+def test_positions_are_dealt_before_they_are_counted(spark):
+    df = spark.range(8000, numPartitions=5).select(F.lit("c").alias("contig"), (F.col("id") % 40).alias("pos"))
+    bins = variants.load_bins(df, 400)
+    text = plan(bins)
+    assert text.rindex("HashAggregate") < text.rindex("Exchange"), text  # the deepest step is the exchange
+    sizes = variants.in_load_bins(df, bins).groupBy("_bin").count().collect()
+    assert sum(r["count"] for r in sizes) == 8000 and max(r["count"] for r in sizes) <= 600
+
+
 def test_no_job_starts_while_plans_are_built(spark):
     reads, tiles, contigs, sites, spliced = (frame(spark, DATA, t) for t in ("reads", "contig_tiles", "contig_lens", "known_sites", "spliced_reads"))
     spark.sparkContext.setJobGroup("plans", "plans")
