@@ -5,6 +5,8 @@ import gzip
 import io
 import os
 import random
+import time
+from itertools import combinations
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -15,6 +17,7 @@ from seqlake.operators import align, apply, intervals, jobs, recal, rnaseq, vari
 from seqlake.plans import pipelines
 from seqlake.registry.tables import TABLES, frame, sql
 from seqlake.sources import fastq, text
+from seqlake.sources.scratch import written
 from seqlake.streaming import jobs as stream
 
 DATA = "/root/testdata/sf0.001"
@@ -107,6 +110,53 @@ def test_short_parts_meet_few_places_by_chance(spark):
     assert align.align_everywhere(reads, tiles).where("nm = 0").count() == 100
 
 
+def test_triples_of_parts_meet_fewer_places_by_chance(spark):
+    triples = align.covering_triples(8)
+    assert all(any(set(t) <= set(four) for t in triples) for four in combinations(range(8), 4)) and len(triples) == 20
+    r = random.Random(6)
+    genome = "".join(r.choice("ACGT") for _ in range(60_000))
+    tiles = spark.createDataFrame([("c", i // 32, i, genome[i : i + 32]) for i in range(0, len(genome), 32)], "contig string, tile long, start0 long, seq string")
+    swap = str.maketrans("ACGT", "CGTA")
+    texts = [genome[i * 500 : i * 500 + 40] for i in range(100)]
+    worn = [s[:4] + s[4:6].translate(swap) + s[6:29] + s[29:31].translate(swap) + s[31:] for s in texts]  # four parts of five bases are wrong
+    reads = spark.createDataFrame([(f"r{i}", 1, s, "I" * 40) for i, s in enumerate(worn)], "name string, mate int, seq string, qual string")
+    met = align.set_seeds(reads, triples, 5, 8).join(align.set_index(tiles, sorted({align.shape_of(t) for t in triples}), 5), "kmer").count()
+    assert 100 <= met <= 100 * 5  # 40 seeds a read, with a place by chance for one in 18,000 of them; pairs meet 11 a read
+    stages = []
+    whole, staged = (align.align_everywhere(reads, tiles, stage=s) for s in (None, lambda df, label: stages.append(label) or written(df, label)))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, staged.collect())) and whole.where("nm = 4").count() == 100
+    assert len(stages) == 1 + 8  # long reads, and the shapes of the triples
+
+
+def shuffle_files(spark, at_most):
+    """Shuffle files on disk, after some waiting for them to be ``at_most``: Spark removes them in the background."""
+    for _ in range(100):
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        if files.count("shuffle_") <= at_most:
+            break
+        time.sleep(0.1)
+    return files.count("shuffle_")
+
+
+def test_batches_of_reads_align_alike_and_leave_no_shuffles(spark):
+    reads, tiles = (written(frame(spark, DATA, t), t) for t in ("reads", "contig_tiles"))
+    before = shuffle_files(spark, 0)
+    batches = align.align_in_batches(reads, tiles, batch=reads.count() // 3 + 1)
+    assert shuffle_files(spark, before) <= before
+    assert batches.exceptAll(align.align_reads(reads, tiles)).count() == 0 and batches.count() == align.align_reads(reads, tiles).count()
+
+
+def test_pieces_of_long_reads_on_blocks(spark):
+    r = random.Random(9)
+    genome = "".join(r.choice("ACGT") for _ in range(1200))
+    starts = [i for i in range(0, 1200, 32) if i not in (608, 640)]  # two tiles are missing, and the last one is short
+    tiles = spark.createDataFrame([("c", i // 32, i, genome[i : i + 32]) for i in starts], "contig string, tile long, start0 long, seq string")
+    cut = [(n, at) for n in (40, 61, 200, 330) for at in (0, 1, 130, 200, 250, 262, 500, 580, 700, 1200 - n) if at + n <= 1200]
+    reads = spark.createDataFrame([(f"{at}+{n}", 1, genome[at : at + n], "I" * n) for n, at in cut], "name string, mate int, seq string, qual string")
+    want = {f"{at}+{n}": at + 1 for n, at in cut if at + n <= 608 or at >= 672}
+    assert {x["name"]: x["pos"] for x in align.align_reads(reads, tiles).where("nm = 0 and not rev").collect()} == want
+
+
 def test_calls_of_shards_meet_tiles_not_bases(spark):
     assert "ref_bases" not in TABLES["vcf_shards"][0] and frame(spark, DATA, "vcf_shards").count() > 0
 
