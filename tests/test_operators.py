@@ -219,6 +219,32 @@ def test_known_sites_meet_tiles_and_not_bases(spark):
     assert [tuple(r) for r in found.agg(F.sum("n_obs"), F.sum("n_mismatch")).collect()] == [(off, 0)]
 
 
+def test_covariates_of_long_reads_by_pieces(spark):
+    r = random.Random(3)
+    genome = "".join(r.choice("ACGTN") for _ in range(900))
+    tiles = spark.createDataFrame([("c", i // 32, i, genome[i : i + 32]) for i in range(0, 900, 32)], "contig string, tile long, start0 long, seq string")
+    hits = []
+    for n in (1, 40, 61, 300):
+        for p in (1, 200, 255, 301, 880):
+            seq = "".join(b if r.random() < 0.8 else r.choice("ACGTN") for b in genome[p - 1 : p - 1 + n].ljust(n, "A"))
+            hits.append(("c", p, r.random() < 0.5, seq, "".join(chr(r.randint(53, 70)) for _ in range(n)), 60))
+    known = {r.randrange(1, 901) for _ in range(150)}
+    want = {}
+    for _, p, rev, seq, qual, _ in hits:
+        read = seq[::-1].translate(str.maketrans("ACGT", "TGCA")) if rev else seq
+        for i, b in enumerate(seq):
+            if p + i <= 900 and p + i not in known:
+                cycle = len(seq) - i if rev else i + 1
+                key = (ord(qual[i]) - 33, cycle, ("N" + read)[cycle - 1 : cycle + 1])
+                n, wrong = want.get(key, (0, 0))
+                want[key] = (n + 1, wrong + (b != genome[p + i - 1]))
+    rows = spark.createDataFrame(hits, "contig string, pos long, rev boolean, seq string, qual string, mapq int")
+    found = recal.count_covariates(rows, tiles, spark.createDataFrame([("c", p) for p in known], "contig string, pos long"))
+    assert {tuple(x)[:3]: tuple(x)[3:] for x in found.collect()} == want
+    text = plan(found)  # what travels to the tiles is a piece of 60 bases and its qualities, not the read once for each tile
+    assert "sequence(0, (n#" in text, text
+
+
 def test_reads_of_a_stretch_are_counted_together(spark):
     hits = spark.createDataFrame([("c", p, "ACGT" * 10, "I" * 40, 60) for p in (1, 9_990, 9_999, 10_000, 25_000)] * 3, "contig string, pos bigint, seq string, qual string, mapq int")
     assert "REBALANCE" in plan(variants.pileup(hits.repartition(4)))
